@@ -1,10 +1,3 @@
 """Document analytics on Spark: composable DataFrame operators for document corpora."""
 
-import sys
-
-from pyspark import cloudpickle
-
 __version__ = "0.1.0"
-
-# Python workers get the functions themselves, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.session import checkpointed
+from quillspark.session import checkpointed, ship
 
 #: Links of one scope that may be gathered in one task.
 LOCAL_LINKS = 50_000
@@ -216,6 +216,7 @@ def _merged_forest(edges: DataFrame, parts: int = 64) -> DataFrame:
 
 def ancestor_pairs(edges: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
     """(scope, ancestor, descendant, distance) over distinct `links`."""
+    ship(edges.sparkSession)
     small, large = _by_size(edges, local_links)
     out = small.groupBy("scope").applyInPandas(_local_closure, "scope string, ancestor string, descendant string, distance int")
     return out if large is None else out.unionByName(_doubled_closure(large).withColumn("distance", F.col("distance").cast("int")))
@@ -223,6 +224,7 @@ def ancestor_pairs(edges: DataFrame, local_links: int = LOCAL_LINKS) -> DataFram
 
 def tree_nodes(df: DataFrame, scope: str, node: str, parent: str, local_links: int = LOCAL_LINKS) -> DataFrame:
     """(scope, node, root, depth, path, n_descendants, on_circle), a row for each label of a scope."""
+    ship(df.sparkSession)
     edges = checkpointed(links(df, scope, node, parent))
     small, large = _by_size(edges, local_links)
     forest = small.groupBy("scope").applyInPandas(_local_forest, "scope string, node string, root string, depth long, path string")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.session import BROADCAST_BYTES, broadcast_if_small, checkpointed, salted_join
+from quillspark.session import BROADCAST_BYTES, broadcast_if_small, checkpointed, salted_join, ship
 
 # Suffixes that belong to the name before the comma.
 SUFFIXES = (
@@ -247,6 +247,7 @@ def _join_commas(skel: str, actions: list[str]) -> None:
 
 def split_packed(df: DataFrame, key: str, fields: list[PackedField], broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
     """One row per packed value: (key, field, pos, value), pos from 1."""
+    ship(df.sparkSession)
     parts = [
         df.select(F.col(key).alias("_key"), F.lit(f.name).alias("field"), F.col(f"`{f.name}`").cast("string").alias("_text"))
         .where(F.col("_text").rlike(r"\S"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,30 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
     )
     for k, v in conf.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers of this session the package, once."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quillspark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), "quillspark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("quillspark", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._quillspark_shipped = True
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
