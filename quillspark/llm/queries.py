@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.leakage import find_leaks
 from quillspark.llm.packing import CAPACITY, pack_documents, token_sizes
+from quillspark.llm.quality import document_kinds, document_stats
 from quillspark.llm.splitting import LIMIT, split_entries
 from quillspark.session import table
 
@@ -46,7 +47,21 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p7_packed, p7_fill, p8_found, p8_items)}
+def _common_words(spark: SparkSession, d: str) -> list[str]:
+    """The frequent words, a fixed table of a few hundred rows."""
+    return [r.word for r in table(spark, d, "common_words").where("word is not null").select("word").distinct().collect()]
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return document_kinds(table(spark, d, "documents"), _common_words(spark, d)).where("kind <> 'prose'").select("doc_id", "kind")
+
+
+def p9_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Text statistics of every document."""
+    return document_stats(table(spark, d, "documents"), _common_words(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_stats)}
 
 ORACLES = {
     "p2_found": f"""
