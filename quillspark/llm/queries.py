@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.leakage import find_leaks
+from quillspark.llm.markup import clean_texts, find_residue
 from quillspark.llm.packing import CAPACITY, pack_documents, token_sizes
 from quillspark.llm.quality import document_kinds, document_stats
 from quillspark.llm.splitting import LIMIT, split_entries
@@ -23,6 +24,15 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_entries(table(spark, d, "chunk_entries"), table(spark, d, "documents"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_residue(table(spark, d, "standard_sections"), "id", "cleaned_text")
+
+
+def p5_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Clean text of every section, converted from its source."""
+    return clean_texts(table(spark, d, "standard_sections"), "id", "raw_latex", "cleaned_text").select("id", "clean_text")
+
+
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     """The container of every document."""
     return pack_documents(token_sizes(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
@@ -61,7 +71,7 @@ def p9_stats(spark: SparkSession, d: str) -> DataFrame:
     return document_stats(table(spark, d, "documents"), _common_words(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p5_found, p5_texts, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_stats)}
 
 ORACLES = {
     "p2_found": f"""
