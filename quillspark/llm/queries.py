@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.leakage import find_leaks
 from quillspark.llm.markup import clean_texts, find_residue
+from quillspark.llm.name_variants import variant_clusters, variant_pairs
 from quillspark.llm.packing import CAPACITY, pack_documents, token_sizes
 from quillspark.llm.quality import document_kinds, document_stats
 from quillspark.llm.splitting import LIMIT, split_entries
+from quillspark.operators.packed_fields import AUTHORS, split_packed
 from quillspark.session import table
 
 
@@ -24,6 +26,19 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_entries(table(spark, d, "chunk_entries"), table(spark, d, "documents"))
 
 
+def _authors(spark: SparkSession, d: str) -> DataFrame:
+    return split_packed(table(spark, d, "papers"), "scrape_id", [AUTHORS]).select("value")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return variant_pairs(_authors(spark, d))
+
+
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Each spelling with its entity."""
+    return variant_clusters(_authors(spark, d))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return find_residue(table(spark, d, "standard_sections"), "id", "cleaned_text")
 
@@ -71,7 +86,7 @@ def p9_stats(spark: SparkSession, d: str) -> DataFrame:
     return document_stats(table(spark, d, "documents"), _common_words(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p5_found, p5_texts, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_entities, p5_found, p5_texts, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_stats)}
 
 ORACLES = {
     "p2_found": f"""
