@@ -1,5 +1,5 @@
 """Catalogues of queries: each module has QUERIES and ORACLES."""
 
-from quillspark.plans import problems
+from quillspark.plans import problems, sequences, tables
 
-CATALOGUES = [problems]
+CATALOGUES = [problems, tables, sequences]
