@@ -156,6 +156,23 @@ def shingles(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
+def running_totals(df: DataFrame, order: list, sums: dict[str, str]) -> DataFrame:
+    """Sums of all rows before each row in a global order, by name {out: column}.
+
+    Totals run within the range partitions of a sort and are shifted by the
+    sums of the partitions before, so no task sees all rows.
+    """
+    from quillspark.session import checkpointed
+
+    s = checkpointed(df.sort(*order).withColumn("_part", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
+    whole = s.groupBy("_part").agg(*[F.sum(c).alias(f"_s_{o}") for o, c in sums.items()])
+    first = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    shift = whole.select("_part", *[F.coalesce(F.sum(f"_s_{o}").over(first), F.lit(0)).alias(f"_b_{o}") for o in sums])
+    inner = Window.partitionBy("_part").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    x = s.join(F.broadcast(shift), "_part")
+    return x.select(*df.columns, *[(F.coalesce(F.sum(c).over(inner), F.lit(0)) + F.col(f"_b_{o}")).alias(o) for o, c in sums.items()])
+
+
 def global_ids(df: DataFrame, order: list, out: str = "gid", prefix: str = "") -> DataFrame:
     """Consecutive ids from 1 over all rows in order.
 

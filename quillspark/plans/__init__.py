@@ -1,5 +1,5 @@
 """Catalogues of queries: each module has QUERIES and ORACLES."""
 
-from quillspark.plans import problems, sequences, tables
+from quillspark.plans import measures, problems, sequences, tables, texts
 
-CATALOGUES = [problems, tables, sequences]
+CATALOGUES = [problems, tables, sequences, measures, texts]
