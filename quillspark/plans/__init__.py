@@ -1,5 +1,5 @@
 """Catalogues of queries: each module has QUERIES and ORACLES."""
 
-from quillspark.plans import measures, problems, sequences, tables, texts
+from quillspark.plans import measures, problems, routing, sequences, tables, texts
 
-CATALOGUES = [problems, tables, sequences, measures, texts]
+CATALOGUES = [problems, tables, sequences, measures, texts, routing]
