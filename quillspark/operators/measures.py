@@ -90,8 +90,8 @@ def roc_curve(df: DataFrame, score: str, bad: str) -> DataFrame:
     per = df.groupBy(F.col(score).alias("v")).agg(F.count_if(F.col(bad)).alias("p"), F.count_if(~F.col(bad)).alias("n"))
     top = per.agg((F.max("v") + 1).alias("v")).select("v", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("n"))
     per = checkpointed(per.unionByName(top).where("v is not null"))
-    c = running_totals(per, ["v"], {"tp": "p", "fp": "n"}).crossJoin(F.broadcast(per.agg(F.sum("p").alias("P"), F.sum("n").alias("N"))))  # one row
-    return c.select(F.col("v").alias("threshold"), (F.col("tp") + F.col("fp")).alias("flagged"), "tp", "fp", safe_ratio(F.col("tp"), F.col("P")).alias("tpr"), safe_ratio(F.col("fp"), F.col("N")).alias("fpr"))
+    c = running_totals(per, ["v"], {"tp": "p", "fp": "n"}).crossJoin(F.broadcast(per.agg(F.sum("p").alias("all_bad"), F.sum("n").alias("all_good"))))  # one row
+    return c.select(F.col("v").alias("threshold"), (F.col("tp") + F.col("fp")).alias("flagged"), "tp", "fp", safe_ratio(F.col("tp"), F.col("all_bad")).alias("tpr"), safe_ratio(F.col("fp"), F.col("all_good")).alias("fpr"))
 
 
 def operating_point(curve: DataFrame, most_fpr: float = 0.05) -> DataFrame:

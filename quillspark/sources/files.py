@@ -32,7 +32,7 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
 
 def texts(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
     """(path, text) of whole files."""
-    return spark.read.option("wholetext", "true").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
