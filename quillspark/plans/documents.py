@@ -10,7 +10,7 @@ from quillspark.functions import udfs
 from quillspark.operators import segments as g
 from quillspark.operators import simulate
 from quillspark.operators.graph import connected_components
-from quillspark.session import checkpointed, table
+from quillspark.session import checkpointed, spread, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -26,7 +26,7 @@ def query(sql: str | None = None):
 
 
 def docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 @query()
@@ -80,8 +80,8 @@ def numbered_lines(spark, d):
 def block_match(spark, d):
     """Block agreement of each section's source with its cleaned text."""
     s = table(spark, d, "standard_sections").where("raw_latex is not null and cleaned_text is not null")
-    s = s.select("id", "raw_latex", "cleaned_text").repartition(64, "id")  # few files, much work a row
-    return s.select("id", udfs.block_match("raw_latex", "cleaned_text").alias("m")).select("id", "m.nid", "m.matched", "m.order")
+    s = s.select("id", "raw_latex", "cleaned_text")
+    return spread(s).select("id", udfs.block_match("raw_latex", "cleaned_text").alias("m")).select("id", "m.nid", "m.matched", "m.order")
 
 
 @query()

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.operators import measures as m
-from quillspark.session import table
+from quillspark.session import spread, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -28,7 +28,7 @@ _RECALL = f"""r AS (SELECT item_id, t AS token, count(*) AS n FROM (SELECT item_
 
 
 def _recall(spark, d):
-    return m.multiset_recall(table(spark, d, "benchmark"), "item_id", "text", table(spark, d, "documents"), "doc_id", "text")
+    return m.multiset_recall(table(spark, d, "benchmark"), "item_id", "text", spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 @query(f"WITH {_RECALL} SELECT doc_id, item_id, matched, matched / size AS recall FROM p JOIN z USING (item_id)")
@@ -46,7 +46,7 @@ def containment_best_match(spark, d):
   j AS (SELECT coalesce(s.id, c.id) AS id, sum(least(coalesce(n, 0), coalesce(m, 0))) AS b, coalesce(sum(n), 0) AS x, coalesce(sum(m), 0) AS y FROM s FULL JOIN c ON s.id = c.id AND s.t = c.t GROUP BY 1)
   SELECT q.id, round(CASE WHEN coalesce(x, 0) = 0 THEN 1.0 ELSE b / x END, 9) AS coverage, round(CASE WHEN coalesce(y, 0) = 0 THEN 0.0 ELSE (y - b) / y END, 9) AS drift FROM standard_sections q LEFT JOIN j ON j.id = q.id""")
 def pairwise_coverage(spark, d):
-    out = m.pairwise_coverage(table(spark, d, "standard_sections"), "id", "raw_latex", "cleaned_text")
+    out = m.pairwise_coverage(spread(table(spark, d, "standard_sections").select("id", "raw_latex", "cleaned_text")), "id", "raw_latex", "cleaned_text")
     return out.select("id", F.round("coverage", 9).alias("coverage"), F.round("drift", 9).alias("drift"))
 
 

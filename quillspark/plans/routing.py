@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import retrieval as v
 from quillspark.operators import routing as r
-from quillspark.session import checkpointed, table
+from quillspark.session import checkpointed, spread, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -23,7 +23,7 @@ def query(sql: str | None = None):
 
 
 def docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 @query()
@@ -60,7 +60,7 @@ _FLAGS = ", ".join("CASE WHEN regexp_matches(line, '" + ("(?i)" if fold else "")
 @query(f"""SELECT hit, count(*) AS n FROM (SELECT unnest(list_filter([{_FLAGS}], lambda z: z IS NOT NULL)) AS hit FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\\x00-\\x7f]') AND NOT contains(text, chr(13)))) GROUP BY 1""")
 def hypothesis_hits(spark, d):
     """Catalogue hits by line (ASCII texts without carriage returns, where both engines read the patterns alike)."""
-    t = table(spark, d, "documents").where("text is not null and not text rlike '[^\\\\x00-\\\\x7f]' and not contains(text, '\\r')")
+    t = docs(spark, d).where("text is not null and not text rlike '[^\\\\x00-\\\\x7f]' and not contains(text, '\\r')")
     return t.select(F.explode(F.split("text", "\n", -1)).alias("line")).select(F.explode(r.hits(F.col("line"))).alias("hit")).groupBy("hit").agg(F.count("*").alias("n"))
 
 
@@ -88,7 +88,7 @@ _BM = """t AS (SELECT doc_id, {0} AS size, {1} AS t0, {2} AS t1 FROM (SELECT doc
 @query(f"""WITH {_BM} SELECT doc_id, round(score, 6) AS score FROM (SELECT doc_id, -(greatest(ln((n - d0 + 0.5) / (d0 + 0.5)), 1e-6) * t0 * 2.2 / (t0 + 1.2 * (0.25 + 0.75 * size / av)) + greatest(ln((n - d1 + 0.5) / (d1 + 0.5)), 1e-6) * t1 * 2.2 / (t1 + 1.2 * (0.25 + 0.75 * size / av))) AS score FROM t, s WHERE t0 > 0 AND t1 > 0) ORDER BY round(score, 9), doc_id LIMIT 25""")
 def bm25_topk(spark, d):
     """A top-k report: full-text search over two weighted fields."""
-    return v.bm25(table(spark, d, "documents"), "doc_id", {"text": 1.0, "source": 5.0}, ["allocator", "Buffer"], 25).withColumn("score", F.round("score", 6))
+    return v.bm25(spread(table(spark, d, "documents").select("doc_id", "text", "source")), "doc_id", {"text": 1.0, "source": 5.0}, ["allocator", "Buffer"], 25).withColumn("score", F.round("score", 6))
 
 
 _COS = """q AS (SELECT vec_id AS qid, embedding AS qe FROM embeddings WHERE vec_id % 50 = 0), p AS (SELECT qid, vec_id, label, list_sum(list_transform(list_zip(embedding, qe), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)) / (sqrt(list_sum(list_transform(embedding, lambda z: z::DOUBLE * z::DOUBLE))) * sqrt(list_sum(list_transform(qe, lambda z: z::DOUBLE * z::DOUBLE)))) AS s FROM embeddings, q),
@@ -96,7 +96,7 @@ _COS = """q AS (SELECT vec_id AS qid, embedding AS qe FROM embeddings WHERE vec_
 
 
 def _top(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    e = spread(table(spark, d, "embeddings").select("vec_id", "embedding", "label"))
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), "embedding")
     return v.vector_topk(q, "qid", e, "vec_id", "embedding", 8, least=0.1, group="label", per_group=2)
 

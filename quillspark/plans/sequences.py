@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.operators import sequence as s
-from quillspark.session import table
+from quillspark.session import spread, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -130,7 +130,7 @@ _WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]+')"
   SELECT id, len(x)::INT AS n_raw, len(y)::INT AS n_clean, len(list_intersect(x, y))::INT AS n_both FROM g""")
 def shingle5_overlap(spark, d):
     w = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    df = table(spark, d, "standard_sections").where("raw_latex is not null and cleaned_text is not null")
+    df = spread(table(spark, d, "standard_sections").where("raw_latex is not null and cleaned_text is not null"))
     g = df.select("id", F.array_distinct(s.shingles(w("raw_latex"), 5)).alias("x"), F.array_distinct(s.shingles(w("cleaned_text"), 5)).alias("y"))
     return g.select("id", F.size("x").alias("n_raw"), F.size("y").alias("n_clean"), F.size(F.array_intersect("x", "y")).alias("n_both"))
 

@@ -85,6 +85,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[Dat
     return (F.broadcast(df) if small else df), small
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over at least as many partitions as there are cores, for much work a row on few files.
+
+    A table of many files or row groups is left as it is, so a large scan is never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salts: int = 32) -> DataFrame:
     """An equi join that spreads every key of `big` over `salts` partitions; `small` is repeated per salt."""
     spread = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts)).cast("int"))
