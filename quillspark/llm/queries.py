@@ -12,18 +12,22 @@ from quillspark.llm.packing import CAPACITY, pack_documents, token_sizes
 from quillspark.llm.quality import document_kinds, document_stats
 from quillspark.llm.splitting import LIMIT, split_entries
 from quillspark.operators.packed_fields import AUTHORS, split_packed
-from quillspark.session import table
+from quillspark.session import spread, table
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Entries that the splitter had to divide."""
-    pieces = split_entries(table(spark, d, "chunk_entries"), table(spark, d, "documents"), only_cut=True)
+    pieces = split_entries(table(spark, d, "chunk_entries"), _docs(spark, d), only_cut=True)
     return pieces.where("piece = 0 and n_pieces > 1").select("doc_id", "chunk_index").distinct()
 
 
 def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     """All pieces of all entries, with their texts."""
-    return split_entries(table(spark, d, "chunk_entries"), table(spark, d, "documents"))
+    return split_entries(table(spark, d, "chunk_entries"), _docs(spark, d))
 
 
 def _authors(spark: SparkSession, d: str) -> DataFrame:
@@ -40,17 +44,17 @@ def p3_entities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return find_residue(table(spark, d, "standard_sections"), "id", "cleaned_text")
+    return find_residue(spread(table(spark, d, "standard_sections").select("id", "raw_latex", "cleaned_text")), "id", "cleaned_text")
 
 
 def p5_texts(spark: SparkSession, d: str) -> DataFrame:
     """Clean text of every section, converted from its source."""
-    return clean_texts(table(spark, d, "standard_sections"), "id", "raw_latex", "cleaned_text").select("id", "clean_text")
+    return clean_texts(spread(table(spark, d, "standard_sections").select("id", "raw_latex", "cleaned_text")), "id", "raw_latex", "cleaned_text").select("id", "clean_text")
 
 
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     """The container of every document."""
-    return pack_documents(token_sizes(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
+    return pack_documents(token_sizes(_docs(spark, d), "doc_id", "text"), "doc_id")
 
 
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -60,13 +64,13 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark")).select("doc_id", "item_id")
+    return find_leaks(_docs(spark, d), table(spark, d, "benchmark")).select("doc_id", "item_id")
 
 
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
     """How many documents each item leaked into, and how much of it at most."""
     return (
-        find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+        find_leaks(_docs(spark, d), table(spark, d, "benchmark"))
         .groupBy("item_id")
         .agg(F.countDistinct("doc_id").alias("documents"), F.max(F.col("matched_words") / F.col("item_words")).alias("most"))
     )
@@ -78,12 +82,12 @@ def _common_words(spark: SparkSession, d: str) -> list[str]:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return document_kinds(table(spark, d, "documents"), _common_words(spark, d)).where("kind <> 'prose'").select("doc_id", "kind")
+    return document_kinds(_docs(spark, d), _common_words(spark, d)).where("kind <> 'prose'").select("doc_id", "kind")
 
 
 def p9_stats(spark: SparkSession, d: str) -> DataFrame:
     """Text statistics of every document."""
-    return document_stats(table(spark, d, "documents"), _common_words(spark, d))
+    return document_stats(_docs(spark, d), _common_words(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_entities, p5_found, p5_texts, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_stats)}
