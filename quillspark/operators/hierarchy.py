@@ -92,42 +92,44 @@ def forest_of(parent: dict[str, str]) -> tuple[WeightedForest, set[str]]:
 
 
 def ancestors_of(pairs: list[tuple[str, str]]) -> dict[str, dict[str, int]]:
-    """Least distance from every child to each of its ancestors, by climbing indexed parents."""
+    """Least distance from every child to each of its ancestors.
+
+    The forest of primary parents tells roots, offsets and circles; nodes are
+    taken by their offset from the root, so that the ancestors of a parent are
+    there before its children's.  Nodes on or below a circle, and those with a
+    parent whose ancestors aren't known yet, climb the indexed parents level by level.
+    """
     up: dict[str, list[str]] = {}
     for c, p in pairs:
         up.setdefault(c, []).append(p)
-    waiting = {c: sum(p in up for p in ps) for c, ps in up.items()}
-    below: dict[str, list[str]] = {}
-    for c, p in pairs:
-        if p in up:
-            below.setdefault(p, []).append(c)
+    forest, circles = forest_of(primary_parents(pairs))
+    place = {c: forest.find(c) for c in up}
     out: dict[str, dict[str, int]] = {}
-    ready = [c for c, n in waiting.items() if not n]
-    while ready:
-        c = ready.pop()
-        got: dict[str, int] = {}
-        for p in up[c]:
-            got[p] = 1
+    open_ = {c for c in up if place[c][0] in circles}
+    for c in sorted(up.keys() - open_, key=lambda c: place[c][1]):
+        if any(p in up and p not in out for p in up[c]):
+            out[c] = _climbed(c, up)
+            continue
+        got = dict.fromkeys(up[c], 1)
         for p in up[c]:
             for a, d in out.get(p, {}).items():
                 if d + 1 < got.get(a, 1 << 60):
                     got[a] = d + 1
         out[c] = got
-        for k in below.get(c, ()):
-            waiting[k] -= 1
-            if not waiting[k]:
-                ready.append(k)
-    for c in up:  # on or below a circle: breadth first
-        if c not in out:
-            got, level, d = {}, [c], 0
-            while level:
-                d += 1
-                level = list({p for x in level for p in up.get(x, ()) if p not in got})
-                got.update(dict.fromkeys(level, d))
-            out[c] = got
+    out.update((c, _climbed(c, up)) for c in open_)
     return out
 
 
+def _climbed(c: str, up: dict[str, list[str]]) -> dict[str, int]:
+    got: dict[str, int] = {}
+    level, d = [c], 0
+    while level:
+        d += 1
+        level = list({p for x in level for p in up.get(x, ()) if p not in got})
+        got.update(dict.fromkeys(level, d))
+    return got
+
+
 def _local_closure(pdf: pd.DataFrame) -> pd.DataFrame:
     scope = pdf["scope"].iloc[0]
     pairs = list(zip(pdf["child"], pdf["parent"]))
