@@ -1,5 +1,5 @@
 """Catalogues of queries: each module has QUERIES and ORACLES."""
 
-from quillspark.plans import documents, measures, problems, routing, sequences, tables, texts
+from quillspark.plans import documents, gates, measures, problems, routing, sequences, tables, texts
 
-CATALOGUES = [problems, tables, sequences, measures, texts, routing, documents]
+CATALOGUES = [problems, tables, sequences, measures, texts, routing, documents, gates]
