@@ -7,11 +7,17 @@ their place in its denominator.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.sequence import running_totals
-from quillspark.session import checkpointed
+from quillspark.session import checkpointed, ship
 
 WORD = r"[\p{L}\p{N}_]+"
 
@@ -25,21 +31,61 @@ def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.explode(words(F.col(text))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
 
 
-def multiset_recall(refs: DataFrame, ref_key: str, ref_text: str, hyps: DataFrame, hyp_key: str, hyp_text: str) -> DataFrame:
+#: Words of the references that may travel with every task.
+REFERENCE_WORDS = 2_000_000
+
+
+def multiset_recall(refs: DataFrame, ref_key: str, ref_text: str, hyps: DataFrame, hyp_key: str, hyp_text: str, most_words: int = REFERENCE_WORDS) -> DataFrame:
     """(ref_key, hyp_key, matched, recall) of all pairs that share a token: sum of least counts over the reference's size.
 
-    The references are the small side (a fixed set of queries); tokens that no
-    reference has are dropped before the shuffle.
+    The references are the small side (a fixed set of queries).  While their
+    counts stay within `most_words` rows they go to the tasks, which score each
+    text where it lies, without any shuffle; beyond that the counts are joined.
     """
     r = word_counts(refs.where(F.col(ref_text).isNotNull()), ref_key, ref_text)
     size = r.groupBy(ref_key).agg(F.sum("n").alias("size"))
-    vocabulary = r.select("token").distinct()
-    h = hyps.where(F.col(hyp_text).isNotNull()).select(hyp_key, F.explode(words(F.col(hyp_text))).alias("token")).join(F.broadcast(vocabulary), "token", "left_semi")
-    h = h.groupBy(hyp_key, "token").agg(F.count("*").alias("m"))
-    pairs = h.join(F.broadcast(r), "token").groupBy(ref_key, hyp_key).agg(F.sum(F.least("n", "m")).alias("matched"))
+    if r.limit(most_words + 1).count() <= most_words:
+        pairs = _scored_in_place(r.toPandas(), dict(refs.dtypes)[ref_key], ref_key, hyps, hyp_key, hyp_text)
+    else:
+        h = word_counts(hyps.where(F.col(hyp_text).isNotNull()), hyp_key, hyp_text).withColumnRenamed("n", "m")
+        pairs = h.join(r, "token").groupBy(ref_key, hyp_key).agg(F.sum(F.least("n", "m")).alias("matched"))
     return pairs.join(F.broadcast(size), ref_key).select(ref_key, hyp_key, "matched", (F.col("matched") / F.col("size")).alias("recall"))
 
 
+def _scored_in_place(counts: pd.DataFrame, ref_kind: str, ref_key: str, hyps: DataFrame, hyp_key: str, hyp_text: str) -> DataFrame:
+    ship(hyps.sparkSession)
+    names, row = np.unique(counts[ref_key].to_numpy(), return_inverse=True)
+    words = {t: k for k, t in enumerate(sorted(set(counts["token"])))}
+    col = counts["token"].map(words).to_numpy(int) if len(counts) else np.zeros(0, int)
+    by_word = np.argsort(col, kind="stable")
+    start = np.searchsorted(col[by_word], np.arange(len(words) + 1))
+    row, n = row[by_word], counts["n"].to_numpy(np.int64)[by_word]
+    token = re.compile(r"\w+")  # letters, numbers and underscores
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            refs_, hyps_, matched = [], [], []
+            for key, text in zip(b["k"], b["t"]):
+                have = Counter(token.findall(text.lower()))
+                known = [(words[w], m) for w, m in have.items() if w in words]
+                if not known:
+                    continue
+                k, m = (np.array(x) for x in zip(*known))
+                width = start[k + 1] - start[k]
+                at = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(start[k], width)
+                total = np.bincount(row[at], weights=np.minimum(n[at], np.repeat(m, width)), minlength=len(names))
+                hit = np.nonzero(total)[0]
+                refs_.append(names[hit])
+                hyps_.append(np.full(len(hit), key))
+                matched.append(total[hit].astype(np.int64))
+            if refs_:
+                yield pd.DataFrame({ref_key: np.concatenate(refs_), hyp_key: np.concatenate(hyps_), "matched": np.concatenate(matched)})
+
+    kind = dict(hyps.dtypes)[hyp_key]
+    rows = hyps.select(F.col(hyp_key).alias("k"), F.col(hyp_text).alias("t")).where("t is not null")
+    return rows.mapInPandas(score, f"{ref_key} {ref_kind}, {hyp_key} {kind}, matched long")
+
+
 def pairwise_coverage(df: DataFrame, key: str, source: str, target: str) -> DataFrame:
     """(key, coverage, drift) of two texts per row, by word multisets: lost from the source, and added by the target."""
     s, t = word_counts(df, key, source), word_counts(df, key, target).withColumnRenamed("n", "m")

@@ -101,9 +101,9 @@ def line_kinds(spark, d):
     return docs(spark, d).select("doc_id", F.explode(F.split("text", "\n", -1)).alias("t")).groupBy("doc_id", x.line_kind(F.col("t")).alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query(r"""SELECT id, list_sort(list_distinct(list_transform(flatten(list_transform(regexp_extract_all(raw_latex, '\\i?ref\{([^{}]+)\}', 1), lambda z: string_split(z, ','))), lambda y: trim(y)))) AS refs FROM standard_sections WHERE raw_latex IS NOT NULL""")
+@query(r"""SELECT id, array_to_string(list_sort(list_distinct(list_transform(flatten(list_transform(regexp_extract_all(raw_latex, '\\i?ref\{([^{}]+)\}', 1), lambda z: string_split(z, ','))), lambda y: trim(y)))), ',') AS refs FROM standard_sections WHERE raw_latex IS NOT NULL""")
 def latex_xrefs(spark, d):
-    return table(spark, d, "standard_sections").where("raw_latex is not null").select("id", F.sort_array(x.latex_xrefs(F.col("raw_latex"))).alias("refs"))
+    return table(spark, d, "standard_sections").where("raw_latex is not null").select("id", F.array_join(F.sort_array(x.latex_xrefs(F.col("raw_latex"))), ",").alias("refs"))
 
 
 @query(r"""SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct(regexp_extract_all(raw_latex, '\\index(?:text|library|libraryglobal|defn)?\{([^{}]+)\}', 1))) AS term FROM standard_sections) GROUP BY 1""")

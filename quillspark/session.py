@@ -37,6 +37,9 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_quillspark_shipped", False):
         return
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch) == "10000":  # the default is too many whole documents at once
+        spark.conf.set(batch, "2000")
     root = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), "quillspark.zip")
     with zipfile.ZipFile(path, "w") as z:

@@ -96,6 +96,13 @@ def test_guard(spark):
     assert got == {"same": "ok", "worse": "regressed", "gone": "vanished", "null": "ok", "new": "new", "low": "new_below_floor", "nan": "invalid", "edge": "ok", "floor": "crossed_floor"}
 
 
+def test_recall_both_ways(spark):
+    refs = spark.createDataFrame([(1, "a b b"), (2, "C d"), (3, ""), (4, None)], "r int, t string")
+    hyps = spark.createDataFrame([(10, "b b b a"), (11, "c"), (12, "zz"), (13, None)], "h long, x string")
+    a, b = (rows(m.multiset_recall(refs, "r", "t", hyps, "h", "x", most), "r", "h") for most in (100, 0))
+    assert a == b == [(1, 10, 3, 1.0), (2, 11, 1, 0.5)]
+
+
 def test_calibration(spark):
     df = spark.createDataFrame([(float(v), v < 4) for v in range(10)], "v double, bad boolean")
     best = m.operating_point(m.roc_curve(df, "v", "bad")).first()
