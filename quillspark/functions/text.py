@@ -203,3 +203,28 @@ def stable_key(*parts: Column) -> Column:
 
 def stable_uniform(*parts: Column) -> Column:
     return stable_key(*parts).cast("double") / float(1 << 64)
+
+
+def broken_chars(c: Column) -> Column:
+    """Replacement characters and UTF-8 read as one byte each, outside fenced code."""
+    plain = F.regexp_replace(c, r"(?ms)^\s*```.*?^\s*```\s*$", "")
+    return F.size(F.regexp_extract_all(plain, F.lit("\ufffd|[ÃÂâ][\u0080-\u00bf€™œ\u201c\u201d¦]"), F.lit(0)))
+
+
+def balanced_latex(c: Column) -> Column:
+    """Braces, environments and math delimiters come in pairs."""
+    n = lambda p: F.size(F.regexp_extract_all(c, F.lit(p), F.lit(0)))
+    return (n(r"(?<!\\)\{") == n(r"(?<!\\)\}")) & (n(r"\\begin\{") == n(r"\\end\{")) & (n(r"(?<!\\)\$") % 2 == 0) & (n(r"\\\(") == n(r"\\\)"))
+
+
+def escaped_markdown(c: Column) -> Column:
+    """Markdown's own characters escaped, code spans left as they are."""
+    parts = F.regexp_extract_all(c, F.lit(r"`[^`\n]*`|[^`]+|`"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^`.*`$"), p).otherwise(F.regexp_replace(p, r"([\\*_\[\]<>])", r"\\$1"))), "")
+
+
+def search_variants(q: Column) -> Column:
+    """A query as typed, without punctuation, without std::, and its last name alone; distinct, in that order."""
+    plain = collapse(F.regexp_replace(q, r"[^\p{L}\p{N}_:]+", " "))
+    bare = F.regexp_replace(plain, r"\bstd::", "")
+    return F.filter(F.array_distinct(F.array(F.trim(q), plain, bare, F.regexp_extract(bare, r"(\w+)\W*$", 1))), lambda x: x != "")

@@ -153,3 +153,60 @@ def vote_totals(spark, d):
 @query(f"SELECT c_custkey, ('0x' || substr(sha256('user:' || c_custkey), 1, 16))::UBIGINT::VARCHAR AS key FROM customer")
 def stable_keys(spark, d):
     return table(spark, d, "customer").select("c_custkey", x.stable_key(F.lit("user"), F.col("c_custkey")).cast("string").alias("key"))
+
+
+@query(r"""SELECT id, lower(trim(regexp_replace(regexp_replace(regexp_replace(section_number || ' ' || title || CASE WHEN id % 2 = 0 THEN ' ........ ' || id ELSE '' END, '(\s*\.){5,}\s*[0-9]*\s*$', ''), '^\s*[0-9]+(\.[0-9]+)*\.?\s+', ''), '\s+', ' ', 'g'))) AS entry, (id % 2 = 0)::VARCHAR AS leader FROM standard_sections WHERE section_number IS NOT NULL AND title IS NOT NULL AND NOT contains(title, '...')""")
+def toc_entries(spark, d):
+    s = table(spark, d, "standard_sections").where("section_number is not null and title is not null and not contains(title, '...')")
+    line = F.concat("section_number", F.lit(" "), "title", F.when(F.col("id") % 2 == 0, F.concat(F.lit(" ........ "), "id")).otherwise(""))
+    return s.select("id", x.toc_entry(line).alias("entry"), x.has_leader(line).cast("string").alias("leader"))
+
+
+@query("""SELECT scrape_id, regexp_replace(title, '\\s*::\\s*', '::', 'g') AS title, CASE WHEN starts_with(lower(trim(title)), 'info:') THEN 'info' WHEN starts_with(lower(trim(title)), 'ask:') OR starts_with(lower(trim(title)), 'draft:') OR starts_with(lower(trim(title)), 'd:') THEN 'ask' ELSE '' END AS intent FROM papers WHERE title IS NOT NULL""")
+def title_intents(spark, d):
+    p = table(spark, d, "papers").where("title is not null")
+    return p.select("scrape_id", x.joined_colons(F.col("title")).alias("title"), x.intent(F.col("title")).alias("intent"))
+
+
+@query("""SELECT lang, count(*) AS n, sum((t <> e)::INT)::BIGINT AS changed FROM (SELECT lang, substring(text, 1, 200) AS t, array_to_string(list_transform(string_split(substring(text, 1, 200), ''), lambda c: CASE WHEN unicode(c) > 127 THEN '&#' || unicode(c) || ';' ELSE c END), '') AS e FROM documents WHERE text IS NOT NULL) GROUP BY 1""")
+def entity_escapes(spark, d):
+    t = docs(spark, d).select("lang", F.substring("text", 1, 200).alias("t"))  # the head line of a listing
+    return t.groupBy("lang").agg(F.count("*").alias("n"), F.sum((F.col("t") != x.entities(F.col("t"))).cast("int")).alias("changed"))
+
+
+@query(r"""SELECT doc_id, len(regexp_extract_all(regexp_replace(text, '(?ms)^\s*```.*?^\s*```\s*$', '', 'g'), chr(65533) || '|[ÃÂâ][' || chr(128) || '-' || chr(191) || '€™œ“”¦]'))::INT AS broken FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(13))""")
+def mojibake_counts(spark, d):
+    return docs(spark, d).where("not contains(text, '\\r')").select("doc_id", x.broken_chars(F.col("text")).alias("broken"))
+
+
+@query(r"""SELECT CASE WHEN l IN ('c++', 'cc', 'cxx', 'hpp', 'h', 'cpp') THEN 'cpp' WHEN l IN ('py', 'python3', 'python') THEN 'python' WHEN l IN ('sh', 'shell', 'console', 'bash') THEN 'bash' WHEN l = 'js' THEN 'javascript' WHEN l = 'yml' THEN 'yaml' WHEN l = 'txt' THEN 'text' ELSE l END AS language, count(*) AS n
+  FROM (SELECT lower(trim(unnest(regexp_extract_all(text, '(?m)^```([\w+#-]+)', 1)))) AS l FROM documents WHERE text IS NOT NULL) GROUP BY 1""")
+def code_languages(spark, d):
+    f = docs(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit(r"(?m)^```([\w+#-]+)"), F.lit(1))).alias("l"))
+    return f.groupBy(x.code_language(F.col("l")).alias("language")).agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT id, (len(regexp_extract_all(replace(replace(raw_latex, '\{', ''), '\}', ''), '\{')) = len(regexp_extract_all(replace(replace(raw_latex, '\{', ''), '\}', ''), '\}')) AND len(regexp_extract_all(raw_latex, '\\begin\{')) = len(regexp_extract_all(raw_latex, '\\end\{')) AND len(regexp_extract_all(replace(raw_latex, '\$', ''), '\$')) % 2 = 0 AND len(regexp_extract_all(raw_latex, '\\\(')) = len(regexp_extract_all(raw_latex, '\\\)')))::VARCHAR AS balanced FROM standard_sections WHERE raw_latex IS NOT NULL""")
+def latex_guards(spark, d):
+    return table(spark, d, "standard_sections").where("raw_latex is not null").select("id", x.balanced_latex(F.col("raw_latex")).cast("string").alias("balanced"))
+
+
+@query()
+def markdown_escapes(spark, d):
+    return table(spark, d, "papers").where("title is not null").select("scrape_id", x.escaped_markdown(F.col("title")).alias("title"))
+
+
+@query()
+def search_variants(spark, d):
+    return table(spark, d, "papers").where("title is not null").select("title").distinct().select("title", F.posexplode(x.search_variants(F.col("title"))).alias("place", "variant"))
+
+
+@query("""WITH c AS (SELECT draft_tag, stable_label, list(DISTINCT id ORDER BY id) AS a FROM standard_sections GROUP BY ALL), e AS (SELECT draft_tag, to_label AS stable_label, list(DISTINCT xref_id ORDER BY xref_id) AS b FROM section_xrefs GROUP BY ALL)
+  SELECT draft_tag, stable_label, len(list_distinct(list_concat(a, coalesce(b, []))))::INT AS ids FROM c LEFT JOIN e USING (draft_tag, stable_label)""")
+def evidence_union(spark, d):
+    """Ids of the rows and of the references of each label, without repeats."""
+    c = table(spark, d, "standard_sections").select("draft_tag", "stable_label", "id")
+    e = table(spark, d, "section_xrefs").select("draft_tag", F.col("to_label").alias("stable_label"), F.col("xref_id").alias("id"))
+    known = c.select("draft_tag", "stable_label").distinct()
+    ids = c.unionByName(e.join(known, ["draft_tag", "stable_label"], "left_semi").select("draft_tag", "stable_label", "id")).distinct()
+    return ids.groupBy("draft_tag", "stable_label").agg(F.count("*").cast("int").alias("ids"))
