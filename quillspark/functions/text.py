@@ -138,7 +138,7 @@ def line_kind(c: Column) -> Column:
     """id, date, num, mark, code, word or mixed."""
     x = F.regexp_replace(c, r"^\s+|\s+$", "")
     return (
-        F.when(x.rlike(rf"^{LOOSE_ID}$"), "id").when(x.rlike(r"^\d{4}-\d{2}(-\d{2})?$"), "date").when(x.rlike(r"^[\d.,%+-]+$"), "num")
+        F.when(x.rlike(rf"^{LOOSE_ID}$"), "id").when(x.rlike(r"^\d{4}-\d{2}(-\d{2})?$"), "date").when(x.rlike(r"^[\d.,%+-]*\d[\d.,%+-]*$"), "num")
         .when(x.rlike(r"^[^\w\s]+$"), "mark").when(x.rlike(r"[;{}]$|::|^\s*#include"), "code").when(x.rlike(r"^[\p{L} '-]+$"), "word").otherwise("mixed")
     )
 

@@ -51,7 +51,7 @@ def exists_semi(spark, d):
     return table(spark, d, "customer").select("c_custkey").join(o, "c_custkey", "left_semi")
 
 
-@query("""SELECT kind, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(u, '\\.agora\\.json$') THEN 'thread' WHEN regexp_matches(u, '\\.json$') THEN 'record' WHEN regexp_matches(u, '\\.(debug|trace)\\.md$') THEN 'log'
+@query("""SELECT kind, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(u, '\\.[a-z]+\\.json$') THEN 'thread' WHEN regexp_matches(u, '\\.json$') THEN 'record' WHEN regexp_matches(u, '\\.(debug|trace)\\.md$') THEN 'log'
   WHEN regexp_matches(u, '\\.md$') THEN 'markdown' WHEN regexp_matches(u, '\\.pdf$') THEN 'pdf' WHEN regexp_matches(u, '\\.html?$') THEN 'html' ELSE 'other' END AS kind
   FROM (SELECT lower(url) AS u FROM papers WHERE url <> '' AND NOT lower(url) LIKE '%.partial')) GROUP BY kind""")
 def suffix_kinds(spark, d):

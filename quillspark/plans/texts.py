@@ -95,7 +95,7 @@ def route_first_token(spark, d):
     return table(spark, d, "papers").where("target_group is not null").select("scrape_id", x.first_prefixed(tokens, ("lewg", "lwg", "ewg", "cwg", "sg"), "ewg").alias("room"))
 
 
-@query(r"""SELECT doc_id, kind, count(*) AS n FROM (SELECT doc_id, CASE WHEN regexp_matches(t, '^[DPN][0-9]{4,5}(R[0-9]+)?$') THEN 'id' WHEN regexp_matches(t, '^[0-9]{4}-[0-9]{2}(-[0-9]{2})?$') THEN 'date' WHEN regexp_matches(t, '^[0-9.,%+-]+$') THEN 'num' WHEN t <> '' AND NOT regexp_matches(t, '[0-9a-zA-Z_\s]') THEN 'mark'
+@query(r"""SELECT doc_id, kind, count(*) AS n FROM (SELECT doc_id, CASE WHEN regexp_matches(t, '^[DPN][0-9]{4,5}(R[0-9]+)?$') THEN 'id' WHEN regexp_matches(t, '^[0-9]{4}-[0-9]{2}(-[0-9]{2})?$') THEN 'date' WHEN regexp_matches(t, '^[0-9.,%+-]*[0-9][0-9.,%+-]*$') THEN 'num' WHEN t <> '' AND NOT regexp_matches(t, '[0-9a-zA-Z_\s]') THEN 'mark'
   WHEN regexp_matches(t, '[;{}]$|::|^#include') THEN 'code' WHEN regexp_matches(t, '^[\p{L} ''-]+$') THEN 'word' ELSE 'mixed' END AS kind FROM (SELECT doc_id, regexp_replace(unnest(string_split(text, chr(10))), '^\s+|\s+$', '', 'g') AS t FROM documents WHERE text IS NOT NULL)) GROUP BY ALL""")
 def line_kinds(spark, d):
     return docs(spark, d).select("doc_id", F.explode(F.split("text", "\n", -1)).alias("t")).groupBy("doc_id", x.line_kind(F.col("t")).alias("kind")).agg(F.count("*").alias("n"))

@@ -11,7 +11,7 @@ def suffix_kind(path: Column) -> Column:
     """Kind of a file by its suffix, the longest suffix first."""
     p = F.lower(path)
     return (
-        F.when(p.rlike(r"\.agora\.json$"), "thread").when(p.rlike(r"\.json$"), "record").when(p.rlike(r"\.(debug|trace)\.md$"), "log")
+        F.when(p.rlike(r"\.[a-z]+\.json$"), "thread").when(p.rlike(r"\.json$"), "record").when(p.rlike(r"\.(debug|trace)\.md$"), "log")
         .when(p.rlike(r"\.md$"), "markdown").when(p.rlike(r"\.pdf$"), "pdf").when(p.rlike(r"\.html?$"), "html").otherwise("other")
     )
 

@@ -55,14 +55,14 @@ def test_layout_passes(spark):
 
 def test_file_sources(spark, tmp_path):
     (tmp_path / "a.md").write_text("# A\n")
-    (tmp_path / "a.agora.json").write_text("{}")
+    (tmp_path / "a.thread.json").write_text("{}")
     (tmp_path / "x.md.partial").write_text("no")
     (tmp_path / "P1-fig2-3.png").write_bytes(b"x")
     (tmp_path / "std.tex").write_text("\\include{two}\n%\\include{no}\n\\input{one}\n")
     for n in ("one", "two", "three"):
         (tmp_path / f"{n}.tex").write_text(n)
     f = str(tmp_path)
-    assert {(r.name, r.kind) for r in files.listing(spark, f).collect()} >= {("a.md", "markdown"), ("a.agora.json", "thread")}
+    assert {(r.name, r.kind) for r in files.listing(spark, f).collect()} >= {("a.md", "markdown"), ("a.thread.json", "thread")}
     assert [tuple(r)[:3] for r in files.images(spark, f).collect()] == [("P1", 2, 3)]
     assert {r.file: r.place for r in files.latex_tree(spark, f).collect()} == {"two": 0, "one": 1, "three": None}
     m = spark.createDataFrame([('{"version": 1, "paper_id": "P1", "images": []}',), ('{"version": 9, "paper_id": "P1"}',), ("no",), (None,)], "t string")
