@@ -184,10 +184,9 @@ def skip_classes(spark, d):
     return P(spark, d).select("scrape_id", v.alias("verdict"))
 
 
-@query("""SELECT scrape_id, CASE WHEN coalesce(source_file, '') = '' THEN 0 WHEN coalesce(markdown_path, '') = '' THEN 1 WHEN coalesce(dissect_path, '') = '' THEN 2
-  WHEN coalesce(advocatus_path, '') = '' THEN 3 WHEN coalesce(agora_path, '') = '' THEN 4 ELSE 5 END AS first_missing FROM papers""")
+@query("""SELECT scrape_id, CASE WHEN coalesce(source_file, '') = '' THEN 0 WHEN coalesce(markdown_path, '') = '' THEN 1 WHEN coalesce(citations_extracted_at, '') = '' THEN 2 ELSE 3 END AS first_missing FROM papers""")
 def first_missing_artifact(spark, d):
-    cols = ["source_file", "markdown_path", "dissect_path", "advocatus_path", "agora_path"]
+    cols = ["source_file", "markdown_path", "citations_extracted_at"]
     pos = F.array_position(F.array(*[t.blank(F.col(c)) for c in cols]), True)
     return P(spark, d).select("scrape_id", F.when(pos > 0, (pos - 1).cast("int")).otherwise(len(cols)).alias("first_missing"))
 
