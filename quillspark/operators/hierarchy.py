@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from quillspark.session import checkpointed, ship
 
-#: Links of one scope that may be gathered in one task.
-LOCAL_LINKS = 50_000
+#: Links of one scope that may be gathered in one task; even if they form one chain, their ancestor pairs fit there.
+LOCAL_LINKS = 5_000
 
 
 def label_key(c: Column) -> Column:
