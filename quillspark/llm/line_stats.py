@@ -16,6 +16,9 @@ _TEXT_MARKS = "'\"()[]-`_/!?“”‘’„«»…–—• "
 # Letters and signs that UTF-8 read as a one-byte encoding consists of.
 _MOJIBAKE = "ÃÂâ€�"
 
+# Words of the runs by which repetition is seen where nothing separates it.
+WINDOW = 5
+
 BLANK, PLAIN, LIST, TABLE, JUNK = range(5)
 
 #: Document statistics, in this order.
@@ -102,6 +105,7 @@ class Scan:
         self._words(cls, line_of, common)
         self._inside(cls, line_of, n)
         self._segments(brk, starts)
+        self._windows(cls, line_of, starts)
         self.kind = self._kinds()
 
     def c(self, name: str) -> np.ndarray:
@@ -182,6 +186,32 @@ class Scan:
         line = np.searchsorted(self.first, first, side="right") - 1
         self.repeat = _sum_by(line, len(self.first), np.where(n >= 4, size, 0))
 
+    def _windows(self, cls: np.ndarray, line_of: np.ndarray, starts: np.ndarray) -> None:
+        """Share of each line's word characters in runs of words that occur four times or more, in texts that mostly consist of such runs."""
+        low = ts.lookup(ts.char_table("lower"), self.codes, ord)
+        step = np.diff(np.isin(cls, [_K["lower"], _K["upper"], _K["letter"], _K["digit"]]).astype(np.int8), prepend=0, append=0)
+        a, b = np.nonzero(step == 1)[0], np.nonzero(step == -1)[0]
+        n, m = len(self.first), len(a) - WINDOW + 1
+        self.again = np.zeros(n)
+        if m < 1:
+            return
+        words, text_of = ts.run_hashes(low, a, b), np.searchsorted(starts, a, side="right") - 1
+        h = ts.mix(text_of[:m].astype(np.uint64) + np.uint64(17))
+        for k in range(WINDOW):
+            h = ts.mix(h ^ words[k : k + m])
+        whole = text_of[:m] == text_of[WINDOW - 1 :]
+        at, h = np.nonzero(whole)[0], h[whole]
+        _, back, times = np.unique(h, return_inverse=True, return_counts=True)
+        times = times[back]
+        # if half of the windows occur four times or more, at most 1/2 + 1/2 * 1/4 of them are distinct
+        every, distinct = _sum_by(text_of[at], self.n_texts), _sum_by(text_of[at], self.n_texts, 1 / times)
+        over = at[(times >= 4) & (distinct <= 0.625 * every)[text_of[at]]]
+        inside = np.zeros(len(a), bool)
+        for k in range(WINDOW):
+            inside[over + k] = True
+        size = b - a
+        self.again = _sum_by(line_of[a], n, size * inside) / np.maximum(_sum_by(line_of[a], n, size), 1)
+
     def _kinds(self) -> np.ndarray:
         with np.errstate(divide="ignore", invalid="ignore"):
             return self._kinds_of_lines()
@@ -223,6 +253,10 @@ class Scan:
         junk = noise | hexes | packed | style | mojibake | jumble | glued | salad
         kind[junk] = JUNK
         kind[(self.repeat > 0.5 * np.maximum(length - 1, 1))] = JUNK
+        # entries and rows may share words, running text that consists of the same words does not
+        phrase = (kind == PLAIN) & (self.again > 0.5)
+        kind[phrase] = JUNK
+        self.repeat = np.where(phrase, np.maximum(self.repeat, self.again * self.visible), self.repeat)
         kind[self.empty] = BLANK
         self._plain_blocks(kind, common)
         return kind

@@ -26,6 +26,18 @@ def test_statistics():
         assert np.allclose(whole[k], text_features([t], common_hashes(COMMON))[0])
 
 
+def test_one_phrase_over_and_over():
+    at = lambda t, f: dict(zip(FEATURES, text_features([t], common_hashes(COMMON))[0]))[f]
+    phrase = "We believe that trivial relocation of the "
+    assert len(set(phrase.split())) == 7 and at(phrase * 60, "repeat_share") > 0.9 and at(phrase * 60, "junk_share") > 0.9
+    wrapped = "\n".join(" ".join((phrase * 60).split()[i : i + 11]) for i in range(0, 420, 11))
+    assert at(wrapped, "junk_share") > 0.9
+    assert at(phrase * 2, "repeat_share") == 0 and at(quality._PROSE, "repeat_share") == 0
+    # entries that share words are a list, and prose with a recurring phrase is prose
+    assert at("\n".join(f"* item number {i} of the box" for i in range(12)), "list_share") == 1
+    assert at("".join(f"We believe that trivial relocation {w} could be what {w}s of the {w} house had asked for. " for w in "abcdefghij"), "junk_share") == 0
+
+
 def test_trees_learn_a_majority():
     r = np.random.default_rng(0)
     x = r.random((800, 5))
