@@ -72,8 +72,8 @@ def h2_sections(spark, d):
 
 @query("""SELECT doc_id, '  ' || lpad((i)::VARCHAR, 5, ' ') || ': ' || line AS numbered FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE length(text) < 2000))""")
 def numbered_lines(spark, d):
-    x = docs(spark, d).where("length(text) < 2000").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "line"))
-    return x.select("doc_id", F.concat(F.lit("  "), F.lpad((F.col("p") + 1).cast("string"), 5, " "), F.lit(": "), "line").alias("numbered"))
+    x = docs(spark, d).where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "line"))
+    return x.select("doc_id", F.format_string("  %5d: %s", F.col("p") + 1, "line").alias("numbered"))
 
 
 @query()
