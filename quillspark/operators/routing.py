@@ -98,8 +98,8 @@ def section_type(heading: Column) -> Column:
 
 
 def hits(text: Column) -> Column:
-    """Ids of the catalogue's patterns that a text meets, in the catalogue's order."""
-    return F.array_compact(F.array(*[F.when(text.rlike(("(?i)" if fold else "") + p), k) for k, (fold, p) in CATALOGUE.items()]))
+    """Ids of the catalogue's patterns that a text meets, in the catalogue's order; letters, digits, blanks and case are Unicode's, only a line feed ends a line."""
+    return F.array_compact(F.array(*[F.when(text.rlike(("(?iUd)" if fold else "(?Ud)") + p), k) for k, (fold, p) in CATALOGUE.items()]))
 
 
 def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,10 @@
 """Queries on small tables written to a folder, for what their SQL leaves out."""
 
+import re
+from collections import Counter
+
 import __spark_entry__
+from quillspark.operators import routing
 
 
 def run(spark, folder, name, **tables):
@@ -18,3 +22,13 @@ def test_numbered_lines_of_long_texts(spark, tmp_path):
     texts = ["a\n\nb", None, "", "\n".join(long), "x" * 2000]
     got = run(spark, tmp_path, "numbered_lines", documents=documents(*texts))
     assert sorted(got) == sorted((i, f"  {k:>5}: {s}") for i, t in enumerate(texts) if t is not None for k, s in enumerate(t.split("\n"), 1))
+
+
+def test_hypothesis_hits_of_any_text(spark, tmp_path):
+    texts = [
+        "We propose a müller_t and std::x.\r\nadd: \r\nÜber shall be", "because “we modify” it, naming convention", "éshall shallé shall", "library   should be changed\nadd:",
+        "der Bibliothek – name lookup\rlifetime", "İ conceptſ 1٢.3 [a.é]", None, "",
+    ]
+    lines = [s for t in texts if t is not None for s in re.split("\r?\n", t)]
+    want = Counter(k for s in lines for k, (fold, p) in routing.CATALOGUE.items() if re.search(p, s, re.I if fold else 0))
+    assert dict(run(spark, tmp_path, "hypothesis_hits", documents=documents(*texts))) == want and want["M5"] and want["W2"] == 2
