@@ -232,15 +232,17 @@ def tree_nodes(df: DataFrame, scope: str, node: str, parent: str, local_links: i
     forest = small.groupBy("scope").applyInPandas(_local_forest, "scope string, node string, root string, depth long, path string")
     pairs = ancestor_pairs(edges, local_links)
     if large is not None:
-        merged = _merged_forest(large)
+        merged = checkpointed(_merged_forest(large))
+        # paths climb the smallest parents only; what has a root has no circle above it
+        rooted = merged.where("root is not null").select("scope", F.col("node").alias("child"))
+        primary = large.groupBy("scope", "child").agg(F.min("parent").alias("parent")).join(rooted, ["scope", "child"])
         path = (
-            pairs.join(large.select("scope").distinct(), "scope", "left_semi")
-            .join(large.groupBy("scope", F.col("child").alias("descendant")).agg(F.min("parent").alias("p")), ["scope", "descendant"])
+            _doubled_closure(checkpointed(primary))
             .groupBy("scope", F.col("descendant").alias("node"))
             .agg(F.sort_array(F.collect_list(F.struct((-F.col("distance")).alias("d"), "ancestor"))).alias("up"))
             .select("scope", "node", F.concat_ws("/", F.col("up.ancestor"), F.col("node")).alias("path"))
         )
-        forest = forest.unionByName(merged.join(path, ["scope", "node"], "left").withColumn("path", F.when(F.col("root").isNotNull(), F.col("path"))))
+        forest = forest.unionByName(merged.join(path, ["scope", "node"], "left"))
     below = pairs.groupBy("scope", F.col("ancestor").alias("node")).agg(
         F.count_if(F.col("ancestor") != F.col("descendant")).alias("n_descendants"), F.bool_or(F.col("ancestor") == F.col("descendant")).alias("on_circle")
     )

@@ -52,6 +52,17 @@ def test_nodes_same_both_ways(spark):
     assert by["d", "x"][2] is None and by["d", "x"][6] and by["d", "y"][2:5] == ("y", 0, "y")
 
 
+def test_nodes_with_several_parents_same_both_ways(spark):
+    r = random.Random(5)
+    rows = [("f", f"n{i}", f"n{p}") for i in range(1, 60) for p in {r.randrange(i) for _ in range(3)}] + [("f", "n0", None)]
+    df = spark.createDataFrame([(*x, "", "") for x in rows], SCHEMA)
+    a = {tuple(x) for x in h.tree_nodes(df, "draft", "label", "parent").collect()}
+    b = {tuple(x) for x in h.tree_nodes(df, "draft", "label", "parent", local_links=5).collect()}
+    assert a == b
+    for _, node, root, depth, path, *_ in b:
+        assert path.split("/")[0] == root == "n0" and path.split("/")[-1] == node and path.count("/") == depth
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert h.ancestor_pairs(h.links(df, "draft", "label", "parent")).count() == 0
