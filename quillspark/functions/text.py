@@ -83,7 +83,8 @@ def without_format_chars(c: Column) -> Column:
 
 def entities(c: Column) -> Column:
     """Characters beyond ASCII as decimal entities."""
-    return F.array_join(F.transform(F.split(c, ""), lambda x: F.when(F.ascii(x) > 127, F.concat(F.lit("&#"), F.ascii(x), F.lit(";"))).otherwise(x)), "")
+    plain = ~c.rlike(r"[^\x00-\x7f]")  # nothing to do, as in most long texts
+    return F.when(plain, c).otherwise(F.array_join(F.transform(F.split(c, ""), lambda x: F.when(F.ascii(x) > 127, F.concat(F.lit("&#"), F.ascii(x), F.lit(";"))).otherwise(x)), ""))
 
 
 def plain_email(c: Column) -> Column:

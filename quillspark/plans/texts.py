@@ -170,7 +170,7 @@ def title_intents(spark, d):
 
 @query("""SELECT lang, count(*) AS n, sum((t <> e)::INT)::BIGINT AS changed FROM (SELECT lang, substring(text, 1, 200) AS t, array_to_string(list_transform(string_split(substring(text, 1, 200), ''), lambda c: CASE WHEN unicode(c) > 127 THEN '&#' || unicode(c) || ';' ELSE c END), '') AS e FROM documents WHERE text IS NOT NULL) GROUP BY 1""")
 def entity_escapes(spark, d):
-    t = docs(spark, d).select("lang", F.substring("text", 1, 200).alias("t"))  # the head line of a listing
+    t = docs(spark, d).where("text is not null").select("lang", F.col("text").alias("t"))
     return t.groupBy("lang").agg(F.count("*").alias("n"), F.sum((F.col("t") != x.entities(F.col("t"))).cast("int")).alias("changed"))
 
 

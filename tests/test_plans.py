@@ -32,3 +32,8 @@ def test_hypothesis_hits_of_any_text(spark, tmp_path):
     lines = [s for t in texts if t is not None for s in re.split("\r?\n", t)]
     want = Counter(k for s in lines for k, (fold, p) in routing.CATALOGUE.items() if re.search(p, s, re.I if fold else 0))
     assert dict(run(spark, tmp_path, "hypothesis_hits", documents=documents(*texts))) == want and want["M5"] and want["W2"] == 2
+
+
+def test_entity_escapes_of_whole_texts(spark, tmp_path):
+    texts = ["a" * 300 + "é", "é" + "a" * 300, "plain " * 100, "", None, "x" * 500 + "\U0001f600"]
+    assert run(spark, tmp_path, "entity_escapes", documents=documents(*texts)) == [("en", 5, 3)]
