@@ -207,8 +207,8 @@ def stable_uniform(*parts: Column) -> Column:
 
 
 def broken_chars(c: Column) -> Column:
-    """Replacement characters and UTF-8 read as one byte each, outside fenced code."""
-    plain = F.regexp_replace(c, r"(?ms)^\s*```.*?^\s*```\s*$", "")
+    """Replacement characters and UTF-8 read as one byte each, outside fenced code; a line ends with LF or CR LF."""
+    plain = F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), r"(?dms)^\s*```.*?^\s*```\s*$", "")
     return F.size(F.regexp_extract_all(plain, F.lit("\ufffd|[ÃÂâ][\u0080-\u00bf€™œ\u201c\u201d¦]"), F.lit(0)))
 
 

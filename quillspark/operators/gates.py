@@ -20,17 +20,17 @@ def anchor_report(df: DataFrame, key: str, text: str, must: list[str], must_not:
 
 def fence_parity(text: Column) -> Column:
     """Whether a fence is left open."""
-    return (F.size(F.regexp_extract_all(text, F.lit(r"(?m)^\s*```"), F.lit(0))) % 2) == 1
+    return (F.size(F.regexp_extract_all(text, F.lit(r"(?dm)^\s*```"), F.lit(0))) % 2) == 1
 
 
 def structural_gates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, flags): open_fence, no_heading, front_matter_only, ragged_table, replacement_chars."""
-    t = F.col(text)
-    body = F.regexp_replace(t, r"^---\r?\n(?s:.*?)\r?\n---\r?\n?", "")
-    rows = F.regexp_extract_all(t, F.lit(r"(?m)^\|.*\|[ \t]*$"), F.lit(0))
+    """(key, flags): open_fence, no_heading, front_matter_only, ragged_table, replacement_chars; a line ends with LF or CR LF."""
+    t = F.replace(F.col(text), F.lit("\r\n"), F.lit("\n"))
+    body = F.regexp_replace(t, r"^---\n(?s:.*?)\n---\n?", "")
+    rows = F.regexp_extract_all(t, F.lit(r"(?dm)^\|.*\|[ \t]*$"), F.lit(0))
     widths = F.array_distinct(F.transform(rows, lambda r: F.length(F.regexp_replace(F.replace(r, F.lit("\\|"), F.lit("")), r"[^|]", ""))))
     flags = F.array_compact(F.array(
-        F.when(fence_parity(t), "open_fence"), F.when(~t.rlike(r"(?m)^#{1,6}\s"), "no_heading"), F.when(F.trim(body) == "", "front_matter_only"),
+        F.when(fence_parity(t), "open_fence"), F.when(~t.rlike(r"(?dm)^#{1,6}\s"), "no_heading"), F.when(F.trim(body) == "", "front_matter_only"),
         F.when(F.size(widths) > 1, "ragged_table"), F.when(t.contains("\ufffd"), "replacement_chars"),
     ))
     return df.where(t.isNotNull()).select(key, flags.alias("flags"))

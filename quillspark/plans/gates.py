@@ -35,8 +35,8 @@ def anchors_report(spark, d):
   CASE WHEN trim(regexp_replace(text, '^---\r?\n(?s:.*?)\r?\n---\r?\n?', '')) = '' THEN 'front_matter_only' END, CASE WHEN len(list_distinct(list_transform(regexp_extract_all(text, '(?m)^\|.*\|[ \t]*$'), lambda r: length(regexp_replace(replace(r, '\|', ''), '[^|]', '', 'g'))))) > 1 THEN 'ragged_table' END,
   CASE WHEN contains(text, chr(65533)) THEN 'replacement_chars' END], lambda z: z IS NOT NULL)) AS flag FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(13))) GROUP BY 1""")
 def structural_gates(spark, d):
-    """Flags of texts with line feeds only (both engines agree on what a line is there)."""
-    t = table(spark, d, "documents").where("text is not null and not contains(text, '\\r')").select("doc_id", "text")
+    """Flags of all texts (the SQL has those with line feeds only)."""
+    t = table(spark, d, "documents").select("doc_id", "text")
     return g.structural_gates(t, "doc_id", "text").select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
 
 

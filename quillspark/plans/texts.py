@@ -176,7 +176,7 @@ def entity_escapes(spark, d):
 
 @query(r"""SELECT doc_id, len(regexp_extract_all(regexp_replace(text, '(?ms)^\s*```.*?^\s*```\s*$', '', 'g'), chr(65533) || '|[ÃÂâ][' || chr(128) || '-' || chr(191) || '€™œ“”¦]'))::INT AS broken FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(13))""")
 def mojibake_counts(spark, d):
-    return docs(spark, d).where("not contains(text, '\\r')").select("doc_id", x.broken_chars(F.col("text")).alias("broken"))
+    return docs(spark, d).where("text is not null").select("doc_id", x.broken_chars(F.col("text")).alias("broken"))
 
 
 @query(r"""SELECT CASE WHEN l IN ('c++', 'cc', 'cxx', 'hpp', 'h', 'cpp') THEN 'cpp' WHEN l IN ('py', 'python3', 'python') THEN 'python' WHEN l IN ('sh', 'shell', 'console', 'bash') THEN 'bash' WHEN l = 'js' THEN 'javascript' WHEN l = 'yml' THEN 'yaml' WHEN l = 'txt' THEN 'text' ELSE l END AS language, count(*) AS n

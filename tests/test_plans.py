@@ -37,3 +37,12 @@ def test_hypothesis_hits_of_any_text(spark, tmp_path):
 def test_entity_escapes_of_whole_texts(spark, tmp_path):
     texts = ["a" * 300 + "é", "é" + "a" * 300, "plain " * 100, "", None, "x" * 500 + "\U0001f600"]
     assert run(spark, tmp_path, "entity_escapes", documents=documents(*texts)) == [("en", 5, 3)]
+
+
+def test_gates_of_texts_with_carriage_returns(spark, tmp_path):
+    texts = ["# A\n\n```\nx\n", "|a|b|\n|a|b|c|\n", "---\ntitle: x\n---\n", "# B\n\ufffd Ã¤\n```\nÃ¤\n```\nÃ¶", "# C\n|a|b|\n|c|d|\n"]
+    both = documents(*texts, *[t.replace("\n", "\r\n") for t in texts], None)
+    want = {"open_fence": 2, "no_heading": 4, "front_matter_only": 2, "ragged_table": 2, "replacement_chars": 2}
+    assert dict(run(spark, tmp_path, "structural_gates", documents=both)) == want
+    broken = dict(run(spark, tmp_path, "mojibake_counts", documents=both))
+    assert broken == {i: 3 if i in (3, 8) else 0 for i in range(10)}
