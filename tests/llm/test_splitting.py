@@ -56,3 +56,27 @@ def test_entries(spark, monkeypatch, spans):
     cut = {(r.doc_id, r.chunk_index) for r in s.split_entries(entries, docs, only_cut=True).collect()}
     assert cut == {(1, 0), (5, 0)}
     assert s.split_entries(entries.limit(0), docs).count() == 0
+
+
+def test_code_is_cut_at_its_lines():
+    t = "```cpp\n" + "\n".join(f"auto variable_{k:04d} = compute({k}, {k + 1});" for k in range(400)) + "\n```\nAfter it."
+    got = s.cut(s.Lines(t), 1, 1000, 1000, 100)
+    assert len(got) > 10 and all(t[q - 1] == "\n" and t[p - 1] == "\n" for p, q in got[1:-1])
+
+
+def test_line_ends_come_before_sentences_and_words():
+    t = "\n".join("some words. and more words here" for _ in range(60))
+    assert all(t[q - 1] == "\n" for _, q in s.cut(s.Lines(t), 1, 60, 500, 50)[:-1])
+    assert all(t[q - 2] in ". " or t[q - 1] in ". " for _, q in s.cut(s.Lines(" ".join(t.split("\n"))), 1, 1, 500, 50)[:-1])
+
+
+@pytest.mark.parametrize("limit", [0, 2000])
+def test_beyond_the_broadcast_limit(spark, limit):
+    docs = spark.createDataFrame([(n, text_of(n), "") for n in range(30)] + [(31, None, "")], D)
+    rows = [(n, k, f"h{k}", a, b, None, "", 0) for n in range(32) for k, (a, b) in enumerate([(1, 9), (1, 60), (10, 400), (190, 500), (300, 400)])]
+    entries = spark.createDataFrame(rows, E)
+    for only in (True, False):
+        few = {tuple(r) for r in s.split_entries(entries, docs, 3000, 100, only).collect()}
+        far = s.split_entries(entries, docs, 3000, 100, only, broadcast_limit=limit)
+        assert {tuple(r) for r in far.collect()} == few and few
+    assert any(r[7] > 1 for r in few) and any(r[7] == 1 for r in few)
