@@ -6,13 +6,18 @@ window of `window` words of an item is a query.  Every window of every
 document is embedded by the CGK random walk: at step t the word under the
 pointer is put out, and the pointer advances by a bit that depends on the step
 and the word, so that sequences at a small edit distance end at a small Hamming
-distance.  Signatures sample positions of the walk; they are repeated until the target
-recall at `edits` is reached (one is enough at edits = 0, where equal windows have
-equal walks).  Windows whose signature is an item's are verified exactly: word for word, or
-by edit distance up to `edits`.
-
-The items (a fixed set) travel to the tasks in blocks of bounded size; the
-documents are scanned where they lie, nothing is shuffled.
+distance.  Signatures sample positions of the walk; they are repeated until a
+simulation reaches the target recall at `edits` edits a window (equal windows
+have equal walks, so those are never missed).  Only windows with enough pairs
+of neighbouring words that stand in some item so are walked: an edit breaks two
+of them at most, so none that could be verified is passed over.  Windows that share a signature
+with an item's are verified by their edit distance (the document's may be longer or
+shorter by the edits), and what they cover of the item is counted twice: by all verified windows, and by those that are equal
+word for word.
+
+The items (a stated query set) go to the tasks in blocks of bounded size, as many
+blocks to one scan of the documents as `PASS_BYTES` allows; the documents are
+scanned where they lie, nothing is shuffled.
 
 Defined results
   null or empty text              no words, no rows
@@ -39,8 +44,10 @@ from pyspark.sql import functions as F
 from quillspark.llm import textscan as ts
 from quillspark.session import ship
 
-#: Item windows that travel with a task at most; more items make more blocks.
+#: Item windows of one index at most; more items make more blocks.
 BLOCK_WINDOWS = 1_000_000
+#: Bytes of item texts that one scan of the documents takes along, broadcast; more items make more scans.
+PASS_BYTES = 64 << 20
 
 # Inline and block elements whose tags are marks around words.
 _TAGS = "a|abbr|b|big|blockquote|body|br|center|cite|code|dd|del|details|div|dl|dt|em|font|h[1-6]|hr|html|i|img|ins|kbd|li|mark|ol|p|pre|q|s|samp|section|small|span|strike|strong|sub|summary|sup|table|tbody|td|tfoot|th|thead|tr|tt|u|ul|var"
@@ -118,8 +125,22 @@ def make_walk(window: int, edits: int = 0, recall: float = 0.95, sampled: int =
     r = random.Random(seed)
     if edits == 0:
         return Walk(window, ((0, tuple(sorted(r.sample(range(2 * window), min(sampled, 2 * window))))),))
-    g = np.random.default_rng(seed)
-    n, left = 2000, np.ones(2000, bool)
+    if not 0 <= recall < 1:
+        raise ValueError("a recall below 1 is needed where edits are allowed")
+    one, two = edited_windows(np.random.default_rng(seed), 2000, window, edits)
+    start = np.arange(len(one)) * one.shape[1]
+    left = np.ones(len(one), bool)
+    out: list[tuple[int, tuple[int, ...]]] = []
+    while left.mean() > 1 - recall:
+        rep = (r.getrandbits(63), tuple(sorted(r.sample(range(2 * window), min(sampled, 2 * window)))))
+        out.append(rep)
+        a, b = (walk_signatures(x.ravel(), start, Walk(window, (rep,)))[0] for x in (one, two))
+        left &= a != b
+    return Walk(window, tuple(out))
+
+
+def edited_windows(g: np.random.Generator, n: int, window: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """n random windows (with some words after them), and the same with `edits` words changed, put in or taken out."""
     one = g.integers(1, 1 << 63, (n, window + edits), dtype=np.int64).astype(np.uint64)
     two = one.copy()
     for row in two:
@@ -130,17 +151,10 @@ def make_walk(window: int, edits: int = 0, recall: float = 0.95, sampled: int =
                 row[at] = g.integers(1, 1 << 63)
             elif kind == 1:
                 row[at + 1 :] = row[at:-1].copy()
+                row[at] = g.integers(1, 1 << 63)
             else:
                 row[at:-1] = row[at + 1 :].copy()
-    start = np.arange(n) * (window + edits)
-    out: list[tuple[int, tuple[int, ...]]] = []
-    few = max(2, sampled // 2)
-    while left.mean() > 1 - recall and len(out) < 256:
-        rep = (r.getrandbits(63), tuple(sorted(r.sample(range(2 * window), min(few, 2 * window)))))
-        out.append(rep)
-        a, b = (walk_signatures(x.ravel(), start, Walk(window, (rep,)))[0] for x in (one, two))
-        left &= a != b
-    return Walk(window, tuple(out))
+    return one, two
 
 
 def walk_signatures(words: np.ndarray, start: np.ndarray, walk: Walk, chunk: int = 1 << 15) -> list[np.ndarray]:
@@ -175,20 +189,33 @@ def window_starts(text_of: np.ndarray, window: int) -> np.ndarray:
     return np.nonzero(text_of[: len(text_of) - window + 1] == text_of[window - 1 :])[0]
 
 
-def word_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Edit distance of two word sequences, or most + 1."""
-    row = np.arange(len(b) + 1)
-    for i, x in enumerate(a, 1):
-        new = np.minimum(row[:-1] + (b != x), row[1:] + 1)
-        left = i
-        cur = [i]
-        for v in new:
-            left = min(int(v), left + 1)
-            cur.append(left)
-        row = np.array(cur)
-        if row.min() > most:
-            return most + 1
-    return int(row[-1])
+def prefix_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Edit distance of each row of a from the nearest prefix of the same row of b, all rows at once."""
+    k = b.shape[1]
+    row = np.tile(np.arange(k + 1, dtype=np.int16), (len(a), 1))
+    for i in range(a.shape[1]):
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        np.minimum(row[:, :-1] + (b != a[:, i : i + 1]), row[:, 1:] + 1, out=new[:, 1:])
+        for j in range(1, k + 1):
+            np.minimum(new[:, j], new[:, j - 1] + 1, out=new[:, j])
+        row = new
+    return row.min(axis=1)
+
+
+def neighbours(words: np.ndarray, bits: int) -> np.ndarray:
+    """A hash of `bits` bits of each word and the one after it."""
+    with np.errstate(over="ignore"):
+        return (ts.mix(words[:-1] * np.uint64(3) + words[1:]) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def promising(words: np.ndarray, start: np.ndarray, window: int, edits: int, pairs: np.ndarray) -> np.ndarray:
+    """The windows of which all but two for each edit of the pairs of neighbouring words are in `pairs`."""
+    if not len(start):
+        return start
+    n = np.zeros(len(words), np.int64)
+    np.cumsum(pairs[neighbours(words, int(len(pairs)).bit_length() - 1)], out=n[1:])
+    return start[n[start + window - 1] - n[start] >= window - 1 - 2 * edits]
 
 
 class ItemIndex:
@@ -203,6 +230,8 @@ class ItemIndex:
         self.first = np.concatenate([[0], np.cumsum(self.length)[:-1]]).astype(np.int64)
         start = window_starts(item_of, walk.window)
         self.item_of = item_of
+        self.pairs = np.zeros(1 << self.FILTER, bool)
+        self.pairs[neighbours(self.words, self.FILTER)] = True
         self.tables = []
         for sig in walk_signatures(self.words, start, walk):
             order = np.argsort(sig, kind="stable")
@@ -210,10 +239,10 @@ class ItemIndex:
             mask[(sig & np.uint64((1 << self.FILTER) - 1)).astype(np.int64)] = True
             self.tables.append((sig[order], start[order], mask))
 
-    def candidates(self, words: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (window of the texts, window of an item) that share a signature."""
+    def candidates(self, signatures: list[np.ndarray], start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (window of the texts, window of an item) that share a signature; start: where the windows of the texts begin."""
         left, right = [], []
-        for sig, (known, pos, mask) in zip(walk_signatures(words, start, self.walk), self.tables):
+        for sig, (known, pos, mask) in zip(signatures, self.tables):
             if not len(known):
                 continue
             may = np.nonzero(mask[(sig & np.uint64((1 << self.FILTER) - 1)).astype(np.int64)])[0]
@@ -226,74 +255,113 @@ class ItemIndex:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         a, b = np.concatenate(left), np.concatenate(right)
         if len(self.tables) > 1 and len(a):
-            a, b = np.unique(np.stack([a, b]), axis=1)
+            pair = np.unique(a * np.int64(len(self.words)) + b)
+            a, b = pair // len(self.words), pair % len(self.words)
         return a, b
 
-    def verified(self, words: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
-        k = self.walk.window
-        if edits == 0:
-            same = np.ones(len(a), bool)
-            for t in range(k):
-                same &= words[a + t] == self.words[b + t]
-            return a[same], b[same]
-        near = np.array([word_distance(words[x : x + k], self.words[y : y + k], edits) <= edits for x, y in zip(a, b)], bool)
-        return a[near], b[near]
-
-    def coverage(self, text_of: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
-        """(text, item, words of the item covered) from verified windows; text_of: the text of each."""
+    def verified(self, words: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs within `edits` edits, and whether they are equal."""
+        k, chunk = self.walk.window, 1 << 16
+        keep, same = np.zeros(len(a), bool), np.zeros(len(a), bool)
+        padded = np.append(words, np.zeros(edits, np.uint64)) if edits else words
+        for x in range(0, len(a), chunk):
+            u, v = padded[a[x : x + chunk, None] + np.arange(k + edits)], self.words[b[x : x + chunk, None] + np.arange(k)]
+            same[x : x + chunk] = (u[:, :k] == v).all(axis=1)
+            keep[x : x + chunk] = same[x : x + chunk]
+            if edits:
+                rest = np.nonzero(~same[x : x + chunk])[0]
+                # within e edits at least window - e words are aligned, up to e places off
+                near = np.zeros(len(rest), np.int64)
+                for d in range(-edits, edits + 1):
+                    lo, hi = max(-d, 0), min(k, k + edits - d)
+                    near += (u[rest, lo + d : hi + d] == v[rest, lo:hi]).sum(axis=1)
+                rest = rest[near >= k - edits]
+                keep[x + rest] = prefix_distances(v[rest], u[rest]) <= edits
+        return a[keep], b[keep], same[keep]
+
+    def coverage(self, text_of: np.ndarray, b: np.ndarray) -> dict[tuple[int, int], int]:
+        """Words of the item covered by verified windows, of each (text, item); text_of: the text of each."""
         k, n_items = self.walk.window, len(self.ids)
         pair = text_of.astype(np.int64) * n_items + self.item_of[b]
         order = np.lexsort((b, pair))
         pair, b = pair[order], b[order]
-        out = []
+        out = {}
         cuts = np.nonzero(np.diff(pair))[0] + 1
         for x, y in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(pair)]])):
             if y > x:
                 step = np.diff(b[x:y])
-                out.append((int(pair[x] // n_items), int(pair[x] % n_items), int(np.minimum(step, k).sum()) + k))
+                out[int(pair[x] // n_items), int(pair[x] % n_items)] = int(np.minimum(step, k).sum()) + k
         return out
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, window: int = 10, share: float = 1 / 3, edits: int = 0, recall: float = 0.95, doc_key: str = "doc_id", item_key: str = "item_id") -> DataFrame:
-    """(doc_key, item_key, matched_words, item_words): items of which at least `share` stands in a document, in runs of at least `window` words."""
-    ship(docs.sparkSession)
+def find_leaks(
+    docs: DataFrame, items: DataFrame, window: int = 10, share: float = 1 / 3, edits: int = 0, recall: float = 0.95, doc_key: str = "doc_id", item_key: str = "item_id", pass_bytes: int = PASS_BYTES
+) -> DataFrame:
+    """(doc_key, item_key, matched_words, near_words, item_words): items of which at least `share` stands in a document.
+
+    near_words are covered by windows of `window` words within `edits` edits of the document's, matched_words by equal ones.
+    """
+    spark = docs.sparkSession
+    ship(spark)
     walk = make_walk(window, edits, recall)
     doc_kind, item_kind = dict(docs.dtypes)[doc_key], dict(items.dtypes)[item_key]
     rows = docs.select(F.col(doc_key).alias("k"), F.col("text").alias("t")).where("t is not null and length(t) > 0")
-    schema = f"{doc_key} {doc_kind}, {item_key} {item_kind}, matched_words int, item_words int"
+    schema = f"{doc_key} {doc_kind}, {item_key} {item_kind}, matched_words int, near_words int, item_words int"
     out = None
-    for ids, texts in item_blocks(items, item_key):
-        index = ItemIndex(ids, texts, walk)
-        part = rows.mapInPandas(_scanner(index, share, edits, (doc_key, item_key)), schema)
+    for ids, texts in item_blocks(items, item_key, pass_bytes):
+        sent = spark.sparkContext.broadcast((ids, texts))
+        part = rows.mapInPandas(_scanner(sent, walk, share, edits, (doc_key, item_key)), schema)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+    return out if out is not None else spark.createDataFrame([], schema)
 
 
-def item_blocks(items: DataFrame, key: str) -> Iterator[tuple[list, list[str]]]:
-    """The items in blocks of at most BLOCK_WINDOWS windows (counted by blanks, so at least by words), read one row at a time."""
+def item_blocks(items: DataFrame, key: str, most_bytes: int) -> Iterator[tuple[list, list[str]]]:
+    """The items in blocks of about `most_bytes` bytes, read one row at a time."""
     ids, texts, n = [], [], 0
     for r in items.select(F.col(key), F.col("text")).where("text is not null").toLocalIterator():
         ids.append(r[0])
         texts.append(r[1])
-        n += len(r[1]) // 2
-        if n >= BLOCK_WINDOWS * 2:
+        n += 64 + len(r[1].encode("utf-8", "surrogatepass"))
+        if n >= most_bytes:
             yield ids, texts
             ids, texts, n = [], [], 0
     if ids:
         yield ids, texts
 
 
-def _scanner(index: ItemIndex, share: float, edits: int, names: tuple[str, str]):
+def indexes(ids: list, texts: list[str], walk: Walk) -> list[ItemIndex]:
+    """Indexes of at most BLOCK_WINDOWS windows each (counted by half the characters, so at least by words)."""
+    out, start, n = [], 0, 0
+    for i, t in enumerate(texts):
+        if i > start and n + len(t) // 2 > BLOCK_WINDOWS:
+            out.append(ItemIndex(ids[start:i], texts[start:i], walk))
+            start, n = i, 0
+        n += len(t) // 2
+    return [*out, ItemIndex(ids[start:], texts[start:], walk)] if ids else out
+
+
+_INDEXES: dict = {}
+
+
+def _scanner(sent, walk: Walk, share: float, edits: int, names: tuple[str, str]):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = (sent.value[0][:1], len(sent.value[0]), hash(tuple(sent.value[1])), walk)
+        if _INDEXES.get("key") != repr(known):  # one worker keeps the indexes of one block of items from task to task
+            at = indexes(*sent.value, walk)
+            _INDEXES.update(key=repr(known), at=at, pairs=np.logical_or.reduce([x.pairs for x in at]))
+        pairs = _INDEXES["pairs"]
         for batch in batches:
             keys, texts, got = batch["k"].to_numpy(), batch["t"].tolist(), []
             for x, y in ts.pieces(texts):
                 words, text_of = word_hashes([unnumbered(plain(t)) for t in texts[x:y]])
-                start = window_starts(text_of, index.walk.window)
-                a, b = index.verified(words, *index.candidates(words, start), edits)
-                for t, i, n in index.coverage(text_of[a], b):
-                    if n >= share * index.length[i] - 1e-9:
-                        got.append((keys[x + t], index.ids[i], n, int(index.length[i])))
-            yield pd.DataFrame(got, columns=[*names, "matched_words", "item_words"])
+                start = promising(words, window_starts(text_of, walk.window), walk.window, edits, pairs)
+                signatures = walk_signatures(words, start, walk)
+                for index in _INDEXES["at"]:
+                    a, b, same = index.verified(words, *index.candidates(signatures, start), edits)
+                    exact = index.coverage(text_of[a[same]], b[same])
+                    for (t, i), n in index.coverage(text_of[a], b).items():
+                        if n >= share * index.length[i] - 1e-9:
+                            got.append((keys[x + t], index.ids[i], exact.get((t, i), 0), n, int(index.length[i])))
+            yield pd.DataFrame(got, columns=[*names, "matched_words", "near_words", "item_words"])
 
     return scan

@@ -59,17 +59,28 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return used.groupBy(F.floor(F.col("used") * 8 / CAPACITY).cast("int").alias("eighths")).agg(F.count("*").alias("containers"), F.sum("used").alias("tokens"))
 
 
+#: Word edits within a window of ten that the search for passages allows.
+EDITS = 1
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"), edits=EDITS)
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark")).select("doc_id", "item_id")
+    """Documents and the items that leaked into them, of the passages found those that stand there word for word."""
+    return _leaks(spark, d).where(F.col("matched_words") * 3 >= F.col("item_words")).select("doc_id", "item_id")
+
+
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    """Leaked passages with those in which a word was changed, put in or left out, and how much of the item they cover."""
+    return _leaks(spark, d)
 
 
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
-    """How many documents each item leaked into, and how much of it at most."""
-    return (
-        find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
-        .groupBy("item_id")
-        .agg(F.countDistinct("doc_id").alias("documents"), F.max(F.col("matched_words") / F.col("item_words")).alias("most"))
-    )
+    """How many documents each item leaked into, word for word or nearly, and how much of it at most."""
+    exact = F.when(F.col("matched_words") * 3 >= F.col("item_words"), F.col("doc_id"))
+    return _leaks(spark, d).groupBy("item_id").agg(F.countDistinct(exact).alias("documents"), F.countDistinct("doc_id").alias("near_documents"), F.max(F.col("near_words") / F.col("item_words")).alias("most"))
 
 
 def _common_words(spark: SparkSession, d: str) -> list[str]:
@@ -86,7 +97,7 @@ def p9_stats(spark: SparkSession, d: str) -> DataFrame:
     return document_stats(table(spark, d, "documents"), _common_words(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_entities, p5_found, p5_texts, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_entities, p5_found, p5_texts, p7_packed, p7_fill, p8_found, p8_near, p8_items, p9_found, p9_stats)}
 
 ORACLES = {
     "p2_found": f"""
