@@ -1,13 +1,16 @@
 """Parent-child rows turned into full hierarchies: root, depth, path, descendants, cycles.
 
-Trees are separate per scope (a draft, say).  Links of a scope within
-`local_links` are combined in one task by a weighted disjoint-set forest
-(every member knows the distance to its representative, which is the top of
-its chain), after which paths are read off by climbing indexed parents.  A scope
-beyond that bound is never gathered: each partition builds such a forest over
-its own links, the forests are merged by pointer jumping (offsets add up, the
-height covered doubles with each merge), and ancestors come from joins that
-double the distance covered.  Both ways are exact.
+Trees are separate per scope (a draft, say).  The first parents of all nodes are
+combined by weighted disjoint-set forests, whose members know the distance to
+their representative, the top of their chain.  A scope of at most
+`local_links` links has one forest in one task.  A larger one gets as many
+partitions as that bound asks for, ranges of labels; each builds the forest of
+its own links, and the forests are merged by looking up the representatives
+(offsets add up, and the height covered doubles with each merge).  A circle is
+found as what never gets to a root and is opened at its least label.  Paths
+grow in the same lookups, parent after parent.  Ancestors are read off the
+paths; links beside the forest (second parents, opened circles) are followed
+from path to path.
 
 Defined results
   null scope, null or blank label or parent     no link; a null scope has no nodes
@@ -21,14 +24,16 @@ Defined results
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.session import checkpointed, ship
+from quillspark.session import broadcast_if_small, checkpointed, lookup_join, ship
 
-#: Links of one scope that may be gathered in one task; even if they form one chain, their ancestor pairs fit there.
-LOCAL_LINKS = 5_000
+#: Links that one task holds; even if they form one chain, their ancestor pairs fit there.
+LOCAL_LINKS = 2_000
 
 
 def label_key(c: Column) -> Column:
@@ -160,68 +165,123 @@ def _local_forest(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _by_size(edges: DataFrame, local_links: int) -> tuple[DataFrame, DataFrame | None]:
     sizes = edges.groupBy("scope").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > local_links).select("scope")
+    large = checkpointed(sizes.where(F.col("n") > local_links).select("scope"))  # at most all links / local_links rows
     if large.isEmpty():
         return edges, None
-    large = checkpointed(large)  # at most all links / local_links rows
-    return edges.join(large, "scope", "left_anti"), checkpointed(edges.join(large, "scope", "left_semi"))
+    side, _ = broadcast_if_small(large)
+    return edges.join(side, "scope", "left_anti"), checkpointed(edges.join(side, "scope", "left_semi"))
 
 
-def _doubled_closure(edges: DataFrame) -> DataFrame:
-    """Ancestors by joining what reaches m with what m reaches, until nothing changes."""
-    known = edges.select("scope", F.col("parent").alias("ancestor"), F.col("child").alias("descendant"), F.lit(1).alias("distance"))
-    before = None
-    while True:
-        state = known.agg(F.count("*"), F.sum("distance")).first()
-        if state == before:
-            return known
-        before = state
-        low = known.select("scope", F.col("ancestor").alias("mid"), "descendant", F.col("distance").alias("d1"))
-        high = known.select("scope", "ancestor", F.col("descendant").alias("mid"), F.col("distance").alias("d2"))
-        longer = low.join(high, ["scope", "mid"]).select("scope", "ancestor", "descendant", (F.col("d1") + F.col("d2")).alias("distance"))
-        known = checkpointed(known.unionByName(longer).groupBy("scope", "ancestor", "descendant").agg(F.min("distance").alias("distance")))
-
-
-def _merged_forest(edges: DataFrame, parts: int = 64) -> DataFrame:
-    """(scope, node, root, depth) of a scope of any size: partition-local forests, merged by pointer jumping."""
-    single = edges.groupBy("scope", "child").agg(F.min("parent").alias("parent"))
-
-    def combine(batches):
-        rows = [b for b in batches if len(b)]
-        if not rows:
-            return
-        for scope, part in pd.concat(rows).groupby("scope", dropna=False):
-            parent = dict(zip(part["child"], part["parent"]))
+_STATE = "scope string, node string, up string, off long, path array<string>"
+
+
+def _local_forests(first: DataFrame, local_links: int) -> DataFrame:
+    """(scope, node, up, off, path) of the forest of each partition; path: from the parent to the representative.  A node that would close a circle hangs on nothing."""
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scopes: dict[str, dict[str, str]] = {}
+        for b in batches:
+            for s, c, p in zip(b["scope"], b["child"], b["parent"]):
+                scopes.setdefault(s, {})[c] = p
+        for scope, parent in scopes.items():
             f, circles = forest_of(parent)
-            got = [(c, *f.find(c)) for c in parent]
-            # below a local circle the offset only has to keep growing
-            yield pd.DataFrame([(scope, c, c, 1) if r in circles else (scope, c, r, d) for c, r, d in got], columns=["scope", "node", "up", "off"])
-
-    state = checkpointed(single.repartition(parts, "scope", "child").mapInPandas(combine, "scope string, node string, up string, off long"))
-    while True:
-        nxt = state.select("scope", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("off").alias("off2"))
-        jumped = state.join(nxt, ["scope", "up"], "left").select(
-            "scope", "node", F.coalesce("up2", "up").alias("up"), (F.col("off") + F.coalesce("off2", F.lit(0))).alias("off"), F.col("up2").isNotNull().alias("open")
+            got = []
+            for c in parent:
+                if c in circles:
+                    continue
+                (top, d), path, x = f.find(c), [], c
+                while x != top:
+                    x = parent[x]
+                    path.append(x)
+                got.append((scope, c, top, d, path))
+            yield pd.DataFrame(got, columns=["scope", "node", "up", "off", "path"])
+
+    parts = max(1, -(-first.count() // local_links))
+    return checkpointed(first.repartitionByRange(parts, "scope", "child").mapInPandas(combine, _STATE))
+
+
+def _looked_up(state: DataFrame, cols: list[str]) -> DataFrame | None:
+    """(scope, up, *cols with 2 after them) of the representatives that hang on something themselves."""
+    tops = state.select("scope", "up").distinct()
+    far = state.select("scope", F.col("node").alias("up"), *[F.col(c).alias(c + "2") for c in cols])
+    far = checkpointed(tops.join(far, ["scope", "up"]))
+    return None if far.isEmpty() else far
+
+
+def _opened(state: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The state without the links of the least label of each circle, and those labels (scope, node)."""
+    jump = state.select("scope", "node", "up")
+    reach, most = 1, state.count()
+    while (far := _looked_up(jump.where("node <> up"), ["up"])) is not None and reach <= 2 * most:
+        jump = checkpointed(lookup_join(jump, far, ["scope", "up"]).select("scope", "node", F.coalesce("up2", "up").alias("up")))
+        reach *= 2
+    if far is None:
+        return state, None
+    # after as many steps as there are nodes, all that is still led to lies on a circle
+    on = checkpointed(jump.join(state.select("scope", F.col("node").alias("up")), ["scope", "up"], "left_semi").select("scope", F.col("up").alias("node")).distinct())
+    ring = checkpointed(state.join(on, ["scope", "node"], "left_semi").select("scope", "node", "up", F.col("node").alias("least")))
+    reach, most = 1, ring.count()
+    while reach <= 2 * most:
+        nxt = ring.select("scope", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("least").alias("least2"))
+        ring = checkpointed(ring.join(nxt, ["scope", "up"]).select("scope", "node", F.col("up2").alias("up"), F.least("least", "least2").alias("least")))
+        reach *= 2
+    cut = checkpointed(ring.where("node = least").select("scope", "node"))
+    return checkpointed(state.join(cut, ["scope", "node"], "left_anti")), cut
+
+
+def _forest(edges: DataFrame, local_links: int) -> tuple[DataFrame, DataFrame]:
+    """((scope, node, up, off, path) with up the root and path all ancestors in the forest, (scope, node) of the roots that lie on a circle)."""
+    first = checkpointed(edges.groupBy("scope", "child").agg(F.min("parent").alias("parent")))
+    state, cut = _opened(_local_forests(first, local_links))
+    while (far := _looked_up(state, ["up", "off", "path"])) is not None:
+        state = checkpointed(
+            lookup_join(state, far, ["scope", "up"]).select("scope", "node", F.coalesce("up2", "up").alias("up"), (F.col("off") + F.coalesce("off2", F.lit(0))).alias("off"), F.when(F.col("path2").isNull(), F.col("path")).otherwise(F.concat("path", "path2")).alias("path"))
         )
-        jumped = checkpointed(jumped)
-        n_open = jumped.where("open").count()
-        # no chain is longer than the number of nodes: what is still open after that lies on or below a circle
-        longest = jumped.agg(F.max("off")).first()[0] or 0
-        state = jumped.drop("open")
-        if n_open == 0 or longest > 2 * state.count() + 2:
-            break
-    circle = state.select("scope", F.col("node").alias("up")).distinct()
-    settled = state.join(circle, ["scope", "up"], "left_anti").select("scope", "node", F.col("up").alias("root"), F.col("off").alias("depth"))
-    looped = state.join(circle, ["scope", "up"], "left_semi").select("scope", "node", F.lit(None).cast("string").alias("root"), F.lit(None).cast("long").alias("depth"))
-    return settled.unionByName(looped)
+    within = first.select("scope", F.col("child").alias("node")).join(state.select("scope", "node"), ["scope", "node"], "left_anti")  # circles of one partition
+    return state, checkpointed((within if cut is None else within.unionByName(cut)).distinct())
+
+
+def _paired(edges: DataFrame, state: DataFrame) -> DataFrame:
+    """Ancestors from the paths of the forest and the links beside it, with their least distance."""
+    least = lambda df, *by: df.groupBy("scope", *by).agg(F.min("d").alias("d"))
+    tree = state.select("scope", "node", F.posexplode("path").alias("d", "anc")).select("scope", "node", "anc", (F.col("d") + 1).cast("long").alias("d"))
+    beside = edges.join(state.select("scope", F.col("node").alias("child"), F.get("path", F.lit(0)).alias("parent")), ["scope", "child", "parent"], "left_anti")
+    beside = checkpointed(beside.select("scope", F.col("child").alias("anc"), F.col("parent").alias("gate")))
+    if beside.isEmpty():
+        return tree
+    nodes = edges.select("scope", F.explode(F.array("child", "parent")).alias("node")).distinct()
+    reach = checkpointed(tree.unionByName(nodes.select("scope", "node", F.col("node").alias("anc"), F.lit(0).cast("long").alias("d"))))
+    # a gate is the upper end of a link beside the forest; steps lead from any node to the gates its path meets
+    step = least(lookup_join(reach, checkpointed(beside.groupBy("scope", "anc").agg(F.collect_set("gate").alias("gates"))), ["scope", "anc"], "inner").select("scope", "node", F.explode("gates").alias("gate"), (F.col("d") + 1).alias("d")), "node", "gate")
+    step = checkpointed(step)
+    gates = beside.select("scope", "gate").distinct()
+    known = checkpointed(step.join(gates.withColumnRenamed("gate", "node"), ["scope", "node"], "left_semi"))
+    before = None
+    while (now := known.agg(F.count("*"), F.sum("d")).first()) != before:  # from gate to gate, twice as many with each round
+        before = now
+        on = known.select("scope", F.col("node").alias("mid"), F.col("gate"), F.col("d").alias("d2"))
+        far = known.withColumnRenamed("gate", "mid").join(on, ["scope", "mid"]).select("scope", "node", "gate", (F.col("d") + F.col("d2")).alias("d"))
+        known = checkpointed(least(known.unionByName(far), "node", "gate"))
+    on = known.select("scope", F.col("node").alias("mid"), "gate", F.col("d").alias("d2"))
+    every = least(step.unionByName(step.withColumnRenamed("gate", "mid").join(on, ["scope", "mid"]).select("scope", "node", "gate", (F.col("d") + F.col("d2")).alias("d"))), "node", "gate")
+    above = reach.select("scope", F.col("node").alias("gate"), "anc", F.col("d").alias("d2"))
+    through = every.join(above, ["scope", "gate"]).select("scope", "node", "anc", (F.col("d") + F.col("d2")).alias("d"))
+    return least(tree.unionByName(through), "node", "anc")
+
+
+def _large_pairs(edges: DataFrame, state: DataFrame) -> DataFrame:
+    return _paired(edges, state).select("scope", F.col("anc").alias("ancestor"), F.col("node").alias("descendant"), F.col("d").cast("int").alias("distance"))
+
+
+def _small_pairs(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("scope").applyInPandas(_local_closure, "scope string, ancestor string, descendant string, distance int")
 
 
 def ancestor_pairs(edges: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
     """(scope, ancestor, descendant, distance) over distinct `links`."""
     ship(edges.sparkSession)
     small, large = _by_size(edges, local_links)
-    out = small.groupBy("scope").applyInPandas(_local_closure, "scope string, ancestor string, descendant string, distance int")
-    return out if large is None else out.unionByName(_doubled_closure(large).withColumn("distance", F.col("distance").cast("int")))
+    return _small_pairs(small) if large is None else _small_pairs(small).unionByName(_large_pairs(large, _forest(large, local_links)[0]))
 
 
 def tree_nodes(df: DataFrame, scope: str, node: str, parent: str, local_links: int = LOCAL_LINKS) -> DataFrame:
@@ -230,19 +290,15 @@ def tree_nodes(df: DataFrame, scope: str, node: str, parent: str, local_links: i
     edges = checkpointed(links(df, scope, node, parent))
     small, large = _by_size(edges, local_links)
     forest = small.groupBy("scope").applyInPandas(_local_forest, "scope string, node string, root string, depth long, path string")
-    pairs = ancestor_pairs(edges, local_links)
+    pairs = _small_pairs(small)
     if large is not None:
-        merged = checkpointed(_merged_forest(large))
-        # paths climb the smallest parents only; what has a root has no circle above it
-        rooted = merged.where("root is not null").select("scope", F.col("node").alias("child"))
-        primary = large.groupBy("scope", "child").agg(F.min("parent").alias("parent")).join(rooted, ["scope", "child"])
-        path = (
-            _doubled_closure(checkpointed(primary))
-            .groupBy("scope", F.col("descendant").alias("node"))
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("distance")).alias("d"), "ancestor"))).alias("up"))
-            .select("scope", "node", F.concat_ws("/", F.col("up.ancestor"), F.col("node")).alias("path"))
-        )
-        forest = forest.unionByName(merged.join(path, ["scope", "node"], "left"))
+        state, looped = _forest(large, local_links)
+        free = lookup_join(state, looped.select("scope", F.col("node").alias("up"), F.lit(True).alias("looped")), ["scope", "up"]).withColumn("free", F.col("looped").isNull())
+        path = F.array_join(F.concat(F.reverse("path"), F.array("node")), "/")
+        rooted = free.select("scope", "node", F.when(F.col("free"), F.col("up")).alias("root"), F.when(F.col("free"), F.col("off")).alias("depth"), F.when(F.col("free"), path).alias("path"))
+        none = F.lit(None).cast("string")
+        forest = forest.unionByName(rooted).unionByName(looped.select("scope", "node", none.alias("root"), F.lit(None).cast("long").alias("depth"), none.alias("path")))
+        pairs = pairs.unionByName(_large_pairs(large, state))
     below = pairs.groupBy("scope", F.col("ancestor").alias("node")).agg(
         F.count_if(F.col("ancestor") != F.col("descendant")).alias("n_descendants"), F.bool_or(F.col("ancestor") == F.col("descendant")).alias("on_circle")
     )

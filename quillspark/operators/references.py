@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.hierarchy import label_key
-from quillspark.session import broadcast_if_small, checkpointed
+from quillspark.session import checkpointed, lookup_join
 
 KEYS = ["kind", "scope", "key"]
 
@@ -75,10 +75,9 @@ def orphans(refs: DataFrame, exist: DataFrame, removed: DataFrame) -> DataFrame:
     keys = checkpointed(orphan_keys(apply_deltas(None, deltas(refs, exist))).select(*KEYS, "exists", "first_exist"))
     gone = removed.select(*KEYS).where("key is not null").distinct().withColumn("gone", F.lit(True))
     keys = keys.join(gone, KEYS, "left")
-    side, _ = broadcast_if_small(keys)  # beyond the limit AQE splits skewed keys of the shuffled join
     state = F.when(F.col("exists") > 0, "late").when(F.col("gone"), "deleted").otherwise("missing")
     return (
-        refs.join(side, KEYS)
+        lookup_join(refs, checkpointed(keys), KEYS, "inner")
         .where("first_exist is null or first_exist > t")
         .select("source_table", "field", F.col("row_id").cast("long").alias("row_id"), F.date_format("t", "yyyy-MM").alias("period"), state.alias("state"))
         .distinct()

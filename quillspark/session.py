@@ -60,12 +60,15 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` in the shared folder named by spark.checkpoint.dir.
 
-    The session's own setting is used; only where it is unset (tests, local
-    runs) is a temporary folder taken.
+    The session's own setting is used; where it is unset a temporary folder is
+    taken if all runs in one process, and it is an error on a cluster, whose
+    executors would not see each other's folders.
     """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quillspark-"))
     return df.checkpoint(eager=True)
 
@@ -75,7 +78,13 @@ def measured_bytes(df: DataFrame) -> int:
     width = F.lit(16)
     for name, kind in df.dtypes:
         c = F.col(f"`{name}`")
-        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) + 16 if kind == "string" else F.lit(16))
+        if kind == "string":
+            size = F.octet_length(c) + 16
+        elif kind == "array<string>":
+            size = F.aggregate(c, F.lit(16), lambda n, x: n + 16 + F.coalesce(F.octet_length(x), F.lit(0)))
+        else:
+            size = F.size(c) * 16 + 16 if kind.startswith("array") else F.lit(16)
+        width = width + F.coalesce(size, F.lit(16))
     return df.agg(F.sum(width.cast("long"))).first()[0] or 0
 
 
@@ -104,6 +113,30 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+#: Rows of one key from which a join takes the key apart from the others.
+HEAVY_ROWS = 200_000
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", limit: int = BROADCAST_BYTES, heavy: int = HEAVY_ROWS) -> DataFrame:
+    """`big` joined with a side of distinct keys, without a hot task.
+
+    The side is broadcast if its measured size allows.  Else keys with more than
+    `heavy` rows in `big` (at most all rows / heavy of them) are joined apart,
+    by broadcast or with salts, and only the rest is shuffled by key.
+    Both sides should be checkpointed or cheap.
+    """
+    side, is_small = broadcast_if_small(small, limit)
+    if is_small:
+        return big.join(side, on, how)
+    hot = checkpointed(big.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > heavy).select(*on).dropna())
+    if hot.isEmpty():
+        return big.join(small, on, how)
+    keys, _ = broadcast_if_small(hot, limit)
+    few, is_small = broadcast_if_small(checkpointed(small.join(keys, on, "left_semi")), limit)
+    of_hot = big.join(keys, on, "left_semi")
+    return (of_hot.join(few, on, how) if is_small else salted_join(of_hot, few, on, how)).unionByName(big.join(keys, on, "left_anti").join(small, on, how))
+
+
 def read_size(path: str) -> int:
     """Bytes under a local path; 0 if it isn't local."""
     if os.path.isfile(path):

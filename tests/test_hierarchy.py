@@ -67,3 +67,23 @@ def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert h.ancestor_pairs(h.links(df, "draft", "label", "parent")).count() == 0
     assert h.tree_nodes(df, "draft", "label", "parent").count() == 0
+
+
+SHAPES = {
+    "chain": [(f"n{i:04d}", f"n{i - 1:04d}") for i in range(1, 400)],
+    "star": [(f"n{i}", "hub") for i in range(600)] + [("hub", "top")],
+    "circle": [(f"n{i}", f"n{(i * 7 + 1) % 90}") for i in range(90)] + [(f"m{i}", f"n{i % 90}") for i in range(200)],
+    "two circles and second parents": [(f"n{i}", f"n{(i + 1) % 40}") for i in range(40)] + [(f"o{i}", f"o{(i + 1) % 3}") for i in range(3)] + [(f"m{i}", f"{'no'[i % 2]}{i % 3}") for i in range(60)] + [(f"m{i}", f"m{i - 7}") for i in range(7, 60, 3)],
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_shapes_beyond_one_task(spark, shape):
+    rows = [("d", c, p) for c, p in SHAPES[shape]]
+    labels = {x for _, c, p in rows for x in (c, p)}
+    rows += [("d", x, None) for x in sorted(labels)]
+    df = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)
+    got = {tuple(r) for r in h.ancestor_pairs(h.links(df, "draft", "label", "parent"), 60).collect()}
+    assert got == brute(rows)
+    a = {tuple(r) for r in h.tree_nodes(df, "draft", "label", "parent", local_links=100_000).collect()}
+    assert a == {tuple(r) for r in h.tree_nodes(df, "draft", "label", "parent", local_links=60).collect()}
