@@ -10,8 +10,11 @@ Jaro-Winkler similarity and a nickname table within the block, and the accepted
 clustered by connected components.  Initials and abbreviations join the one
 cluster they can mean; if there are several they stay by themselves.
 
-A block is read as a stream; one of more than `BLOCK` records is not compared
-in pairs but through shared deletion strings, which every two strings one edit apart have.
+A block is read as a stream.  One of more than `BLOCK` records is spread over many
+tasks: its records are grouped by the strings that are left when a letter is
+taken out of a name.  Every two names that the comparison can accept
+share one (they are one edit apart at most), and few names share the same, so the
+pairs are the same for any `BLOCK` and no group grows with the table.
 
 Defined results
   null, blank value            no record
@@ -31,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.graph import connected_components
-from quillspark.session import checkpointed, ship
+from quillspark.session import broadcast_if_small, checkpointed, ship
 
-#: Records of a block that are compared in pairs at most.
+#: Records of a block that stay in one task; larger ones are split (without an effect on the result).
 BLOCK = 200
 #: Jaro-Winkler similarity that a pair needs besides its edit distance.
 SIMILAR = 0.85
@@ -217,15 +220,23 @@ def given_names(given: str) -> list[str]:
     return [given, *NICKNAMES.get(given, "").split()]
 
 
-def block_keys(kind: str, family: str, given: str, nick: str) -> list[str]:
-    """Phonetic codes of the sorted tokens, whole and of either end of the family."""
+def called(given: str, nick: str) -> set[str]:
+    """What a person may be called."""
+    return {g for g in (*given_names(given), nick) if g}
+
+
+def block_keys(kind: str, family: str, given: str, nick: str) -> set[str]:
+    """Phonetic codes of the sorted tokens: of the family, and of the given name with what one slip leaves of a family of five letters or more."""
+    ends = (family[:3], family[-3:], family[:2] + family[-2:], "".join(sorted(family)))
     if kind == "org":
-        return [f"o|{phonetic(family)}|{given}", f"ol|{family[:4]}|{given}", f"or|{family[-4:]}|{given}"]
-    out = ["p|" + phonetic(family)]
-    for g in {*given_names(given), *([nick] if nick else [])}:
-        if g:
-            out += [f"pl|{family[:4]}|{phonetic(g)}", f"pr|{family[-4:]}|{phonetic(g)}"]
-    return out
+        return {f"o|{phonetic(family)}|{given}", *(f"o{k}|{e}|{given}" for k, e in enumerate(ends))}
+    return {"p|" + phonetic(family), *(f"p{k}|{e}|{phonetic(g)}" for g in called(given, nick) for k, e in enumerate(ends))}
+
+
+def shortened(family: str, given: str, nick: str) -> set[str]:
+    """All names of a record, and each without one of its letters: accepted pairs share one of these."""
+    names = {f"{family} {g}" for g in called(given, nick)}
+    return names | {n[:i] + n[i + 1 :] for n in names for i in range(len(n))}
 
 
 def much_rarer(m: int, n: int) -> bool:
@@ -235,7 +246,7 @@ def much_rarer(m: int, n: int) -> bool:
 
 def same_given(a: tuple, b: tuple) -> int:
     """0 equal or nickname, 1 a misspelling, 2 different; a, b: (given, nick, how many families have it)."""
-    ga, gb = {*given_names(a[0]), *filter(None, [a[1]])}, {*given_names(b[0]), *filter(None, [b[1]])}
+    ga, gb = called(a[0], a[1]), called(b[0], b[1])
     if a[0] in gb or b[0] in ga or (a[1] and a[1] in gb) or (b[1] and b[1] in ga):
         return 0
     rare = much_rarer(a[2], b[2])
@@ -258,21 +269,11 @@ def accepted(a: dict, b: dict) -> bool:
 
 
 def compared(rows: list[dict]) -> Iterator[tuple[str, str]]:
-    """Accepted pairs of a block."""
-    if len(rows) <= BLOCK:
-        for i, a in enumerate(rows):
-            for b in rows[i + 1 :]:
-                if accepted(a, b):
-                    yield a["rid"], b["rid"]
-        return
-    shared: dict[str, list[dict]] = {}
-    for r in rows:
-        names = {r["family"] + " " + g for g in given_names(r["given"])}
-        for s in {n[:i] + n[i + 1 :] for n in names for i in range(len(n))} | names:
-            for other in shared.get(s, []):
-                if other["rid"] != r["rid"] and accepted(other, r):
-                    yield other["rid"], r["rid"]
-            shared.setdefault(s, []).append(r)
+    """Accepted pairs of a group."""
+    for i, a in enumerate(rows):
+        for b in rows[i + 1 :]:
+            if accepted(a, b):
+                yield a["rid"], b["rid"]
 
 
 def variant_clusters(values: DataFrame, column: str = "value") -> DataFrame:
@@ -298,9 +299,8 @@ def variant_clusters(values: DataFrame, column: str = "value") -> DataFrame:
     first = connected_components(pairs)
     named = keys.join(first.withColumnRenamed("node", "rid"), "rid", "left").withColumn("entity", F.coalesce("component", "rid")).drop("component")
     short = _short_links(records, checkpointed(named))
-    links = pairs.unionByName(short)
-    whole = connected_components(links).withColumnRenamed("node", "rid")
-    return records.join(whole, "rid", "left").select("value", F.coalesce("component", "rid").alias("entity"))
+    entity = named.select("rid", "entity").unionByName(short)
+    return records.join(entity, "rid", "left").select("value", F.coalesce("entity", "rid").alias("entity"))
 
 
 def _record_key() -> F.Column:
@@ -326,13 +326,16 @@ _RECORD = ["rid", "kind", "family", "given", "middle", "nick", "fam_n", "given_n
 
 
 def _pairs(keys: DataFrame) -> DataFrame:
+    record = "rid string, kind string, family string, given string, middle string, nick string, fam_n long, given_n long"
+    names = ["block", *_RECORD]
+
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [(k, *r) for r in b[_RECORD].itertuples(index=False) for k in block_keys(r.kind, r.family, r.given, r.nick)]
-            yield pd.DataFrame(got, columns=["block", *_RECORD])
+            yield pd.DataFrame([(k, *r) for r in b.itertuples(index=False) for k in block_keys(r.kind, r.family, r.given, r.nick)], columns=names)
 
-    record = "rid string, kind string, family string, given string, middle string, nick string, fam_n long, given_n long"
-    blocked = keys.select(*_RECORD).mapInPandas(blocks, f"block string, {record}").distinct()
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(f"{r.block}|{s}", *r[1:]) for r in b.itertuples(index=False) for s in shortened(r.family, r.given, r.nick)], columns=names)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_: list[dict] = []
@@ -346,28 +349,34 @@ def _pairs(keys: DataFrame) -> DataFrame:
             yield pd.DataFrame(got, columns=["src", "dst"])
         yield pd.DataFrame(list(compared(open_)), columns=["src", "dst"])
 
-    return blocked.repartition("block").sortWithinPartitions("block", "rid").mapInPandas(compare, "src string, dst string").distinct()
+    schema = f"block string, {record}"
+    blocked = checkpointed(keys.select(*_RECORD).mapInPandas(blocks, schema))
+    large = checkpointed(blocked.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("block"))
+    if not large.isEmpty():
+        side, _ = broadcast_if_small(large)
+        blocked = blocked.join(side, "block", "left_anti").unionByName(blocked.join(side, "block", "left_semi").mapInPandas(parts, schema))
+    return blocked.repartition("block").sortWithinPartitions("block", "rid").mapInPandas(compare, "src string, dst string")
 
 
 def _short_links(records: DataFrame, named: DataFrame) -> DataFrame:
-    """Links of initials and abbreviations to the one cluster they can mean, else among themselves."""
+    """(rid, entity) of initials and abbreviations: the one cluster they can mean, else the least among themselves."""
     short = records.where("kind = 'person' and given = '' and prefix <> ''").groupBy("rid", "family", "prefix", "middle").agg(F.lit(1)).drop("1")
+    short = checkpointed(short.withColumn("letter", F.substring("prefix", 1, 1)))
     nick = F.create_map(*[F.lit(x) for k, v in NICKNAMES.items() for x in (k, v)])
     names = F.array_distinct(F.concat(F.array("given"), F.coalesce(F.split(nick[F.col("given")], " "), F.array().cast("array<string>"))))
-    known = named.where("kind = 'person'").select("family", "entity", "given", F.explode(names).alias("name"), "middle")
+    known = named.where("kind = 'person'").select("family", "entity", F.explode(names).alias("name")).distinct().withColumn("letter", F.substring("name", 1, 1))
     middles = named.where("kind = 'person' and middle <> ''").groupBy("entity").agg(F.collect_set(F.substring("middle", 1, 1)).alias("middles"))
-    known = known.groupBy("family", "entity", "name").agg(F.lit(1)).select("family", "entity", "name").join(middles, "entity", "left")
-    fits = short.join(known, "family").where(F.col("name").startswith(F.col("prefix")))
-    fits = fits.where("middle = '' or middles is null or array_contains(middles, substring(middle, 1, 1))")
+    fits = short.join(known.join(middles, "entity", "left"), ["family", "letter"]).where(F.col("name").startswith(F.col("prefix")))
+    fits = checkpointed(fits.where("middle = '' or middles is null or array_contains(middles, substring(middle, 1, 1))"))
     exact = F.coalesce(F.expr("middle <> '' and array_contains(middles, substring(middle, 1, 1))"), F.lit(False))
     cand = fits.groupBy("rid").agg(
         F.countDistinct("entity").alias("n"), F.min("entity").alias("one"), F.countDistinct(F.when(exact, F.col("entity"))).alias("n_exact"), F.min(F.when(exact, F.col("entity"))).alias("one_exact")
     )
-    to_cluster = cand.where("n_exact = 1 or n = 1").select(F.col("rid").alias("src"), F.when(F.col("n_exact") == 1, F.col("one_exact")).otherwise(F.col("one")).alias("dst"))
-    alone = short.where("length(prefix) = 1").join(fits.select("rid").distinct(), "rid", "left_anti")
-    by = alone.groupBy("family", "prefix").agg(F.min("rid").alias("dst"), F.countDistinct(F.when(F.col("middle") != "", F.substring("middle", 1, 1))).alias("m"))
-    among = alone.join(by.where("m <= 1"), ["family", "prefix"]).select(F.col("rid").alias("src"), "dst").where("src <> dst")
-    return to_cluster.unionByName(among).distinct()
+    to_cluster = cand.where("n_exact = 1 or n = 1").select("rid", F.when(F.col("n_exact") == 1, F.col("one_exact")).otherwise(F.col("one")).alias("entity"))
+    alone = short.where("length(prefix) = 1").join(cand.select("rid"), "rid", "left_anti")
+    by = alone.groupBy("family", "prefix").agg(F.min("rid").alias("entity"), F.countDistinct(F.when(F.col("middle") != "", F.substring("middle", 1, 1))).alias("m"))
+    among = alone.join(by.where("m <= 1"), ["family", "prefix"]).select("rid", "entity")
+    return to_cluster.unionByName(among)
 
 
 def variant_pairs(values: DataFrame, column: str = "value") -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from quillspark.llm import name_variants as n
@@ -32,13 +34,44 @@ def test_ambiguous_initials_stay_alone(spark):
     assert got["T. Dandu"] not in (got["Theodore Dandu"], got["Tariq Dandu"]) and got["T.J. Dandu"] == got["Theodore Dandu"]
 
 
-@pytest.mark.parametrize("block", [200, 1])
-def test_large_blocks_find_the_same(monkeypatch, block):
-    monkeypatch.setattr(n, "BLOCK", block)
-    base = {"kind": "person", "middle": "", "nick": "", "fam_n": 1, "given_n": 1}
-    rows = [{**base, "rid": f"r{i}", "family": f, "given": g} for i, (f, g) in enumerate([("barhomidish", "nathaniel"), ("barhomiadish", "nathaniel"), ("barhomidihs", "nathaniel"), ("lesku", "anna")])]
-    pairs = {frozenset(p) for p in n.compared(rows)}
-    assert {frozenset(("r0", "r1")), frozenset(("r0", "r2"))} <= pairs and not any("r3" in p for p in pairs)
+def random_names(seed):
+    """Spellings with slips, swaps, nicknames typed and meant, and organisations."""
+    r = random.Random(seed)
+    given = ["robert", "bob", "william", "bill", "xavier", "katherine", "kate", "nathaniel"]
+    family = ["smith", "barhomidish", "barhomidash", "smithe", "parker", "jensen"]
+    slip = lambda w: w[: (i := r.randrange(len(w)))] + r.choice(["", "q", w[i] * 2, w[i + 1 : i + 2] + w[i]]) + w[i + 1 :]
+    out = []
+    for _ in range(400):
+        g, f = r.choice(given), r.choice(family)
+        g, f = (slip(g), f) if r.random() < 0.3 else (g, slip(f)) if r.random() < 0.3 else (g, f)
+        nick = r.choice(["", "", "bo", "zed", "bill"])
+        out.append(r.choice([f"{g} {f}", f"{f}, {g}", f'{g} "{nick}" {f}' if nick else g + " " + f, f"{nick or g} {f}", f"{slip(f)} {r.choice(['Systems', 'Research Institute', 'Sys. Inc.'])}"]).title())
+    return sorted(set(out))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_block_size_gives_the_same_pairs(spark, monkeypatch, seed):
+    df = spark.createDataFrame([(v,) for v in [*random_names(seed), 'Xavier "Zed" Smith', "Zed Smith"]], "value string")
+    got = []
+    for block in (100_000, 20, 1):
+        monkeypatch.setattr(n, "BLOCK", block)
+        got.append({tuple(r) for r in n.variant_pairs(df).collect()})
+    assert got[0] == got[1] == got[2] and len(got[0]) > 100 and ('Xavier "Zed" Smith', "Zed Smith") in got[0]
+
+
+def test_accepted_pairs_share_a_shortened_name():
+    rows = [{"rid": v, **dict(zip(n.COLUMNS, n.read_name(v))), "fam_n": 1, "given_n": 1} for v in random_names(3)]
+    rows = [r for r in rows if r["kind"] != "other"]
+    pairs = list(n.compared(rows))
+    by = {r["rid"]: n.shortened(r["family"], r["given"], r["nick"]) for r in rows}
+    assert len(pairs) > 100 and all(by[a] & by[b] for a, b in pairs)
+
+
+@pytest.mark.parametrize("family", ["parker", "jensen", "lopez", "barhomidish"])
+def test_a_slip_leaves_a_shared_block(family):
+    for k in range(len(family)):
+        for other in (family[:k] + family[k + 1 :], family[:k] + "q" + family[k + 1 :], family[:k] + "q" + family[k:], family[:k] + family[k + 1 : k + 2] + family[k] + family[k + 2 :]):
+            assert len(other) < 5 or n.block_keys("person", family, "anna", "") & n.block_keys("person", other, "anna", ""), other
 
 
 def test_measures():
