@@ -2,9 +2,9 @@
 
 One pass sets fenced code and formulas aside (they are kept as they are), the
 passes after it rewrite or report LaTeX, HTML, Markdown and wiki markup by
-patterns that C++ text and file paths don't meet.  The repeated-substring
-method finds text that pages share, not markup, so it can't give this result;
-README says so.
+patterns that C++ text and file paths don't meet.  Suffix arrays of a host's
+pages (`shared_runs`) find text that pages share, not markup, so they can't give
+this result; README has their figures.
 
 Defined results
   null text              null, no kinds
@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -98,32 +99,35 @@ _NOTE_ENV = {"note": "Note", "example": "Example", "defnote": "Note"}
 
 
 class _Kept:
-    """Parts that no later pass may touch."""
+    """Parts that no later pass may touch; the marks that stand for them don't occur in the text."""
 
-    def __init__(self) -> None:
+    def __init__(self, text: str) -> None:
+        used = set(text)
+        free = (c for c in map(chr, chain(range(0xE000, 0xF900), range(0xF0000, 0xFFFFE), range(0x100000, 0x10FFFE))) if c not in used)
+        self.open, self.close = next(free), next(free)
+        self.mark = re.compile(f"{self.open}(\\d+){self.close}")
         self.parts: list[str] = []
 
     def put(self, s: str) -> str:
-        self.parts.append(s)
-        return f"\ue000{len(self.parts) - 1}\ue001"
+        self.parts.append(self.back(s))  # marks in it are of earlier parts, which have none left
+        return f"{self.open}{len(self.parts) - 1}{self.close}"
 
     def back(self, t: str) -> str:
-        for _ in range(3):
-            t = re.sub("\ue000(\\d+)\ue001", lambda m: self.parts[int(m.group(1))], t)
-        return t
+        return self.mark.sub(lambda m: self.parts[int(m.group(1))], t) if self.open in t else t
 
 
-def _argument(t: str, i: int) -> int:
-    """The end of the group in braces that opens at i, or -1."""
-    depth = 0
-    for j in range(i, len(t)):
-        if t[j] == "{" and t[j - 1 : j] != "\\":
-            depth += 1
-        elif t[j] == "}" and t[j - 1 : j] != "\\":
-            depth -= 1
-            if depth == 0:
-                return j
-    return -1
+_BRACE = re.compile(r"(?<!\\)[{}]")
+
+
+def _groups(t: str) -> dict[int, int]:
+    """Where each group in braces that is closed opens and closes."""
+    out, open_ = {}, []
+    for m in _BRACE.finditer(t):
+        if m.group() == "{":
+            open_.append(m.start())
+        elif open_:
+            out[open_.pop()] = m.start()
+    return out
 
 
 _DROPPED = re.compile(r"\\(?:index\w*|label|vspace|hspace|pagestyle|thispagestyle|addtocounter|setcounter|input|include|enlargethispage|footnote(?:mark|text)?|rSecindex)\*?\s*\{")
@@ -132,38 +136,39 @@ _REFERENCE = {"ref", "iref", "cite", "eqref", "autoref", "tref", "fref", "pref"}
 _HEADING = re.compile(r"\\(?:rSec\d|chapter|section|subsection|subsubsection|paragraph|infannex|normannex)\*?\s*(?:\[([^\]]*)\])?\s*\{")
 
 
+def _each_group(t: str, pattern: re.Pattern, put) -> str:
+    """The text with each command that `pattern` finds and its group replaced by put(what is in the group, or None if it isn't closed)."""
+    ends, out, i = _groups(t), [], 0
+    while m := pattern.search(t, i):
+        e = ends.get(m.end() - 1)
+        out += [t[i : m.start()], put(None if e is None else t[m.end() : e])]
+        i = m.end() if e is None else e + 1
+        if e is not None and pattern is _DROPPED and t[i : i + 1] == "%":
+            i += 1
+    return "".join([*out, t[i:]])
+
+
 def _commands(t: str) -> str:
-    """Commands with an argument, from the innermost reading on."""
-    for _ in range(200_000):
-        m = _DROPPED.search(t)
+    """Commands with an argument replaced by it, at any depth; some are dropped, and references get brackets."""
+    t = _each_group(t, _DROPPED, lambda _: "")
+    ends, out, todo = _groups(t), [], [(0, len(t))]
+    while todo:
+        i, stop = todo.pop()
+        m = _COMMAND.search(t, i, stop)
         if not m:
-            break
-        e = _argument(t, m.end() - 1)
-        if e < 0:
-            t = t[: m.start()] + t[m.end() :]
+            out.append(t[i:stop])
             continue
-        tail = e + 1
-        if t[tail : tail + 1] == "%":
-            tail += 1
-        t = t[: m.start()] + t[tail:]
-    out, i = [], 0
-    while m := _COMMAND.search(t, i):
         out.append(t[i : m.start()])
-        e = _argument(t, m.end() - 1)
-        if e < 0:
-            out.append("")
-            i = m.end()
+        e = ends.get(m.end() - 1, stop)
+        if e >= stop:
+            todo.append((m.end(), stop))
+            continue
+        todo.append((e + 1, stop))
+        if m.group(1) not in _REFERENCE:
+            todo.append((m.end(), e))
             continue
-        body, name = t[m.end() : e], m.group(1)
-        if name in _REFERENCE:
-            if out and name == "iref" and "".join(out[-2:])[-1:].isalnum():
-                out.append(" ")
-            out.append(", ".join(f"[{x.strip()}]" for x in body.split(",")))
-            i = e + 1
-        else:
-            t = t[: m.start()] + body + t[e + 1 :]
-            i = m.start()
-    out.append(t[i:])
+        before = next((x for x in reversed(out) if x), "")
+        out.append(" " * (m.group(1) == "iref" and before[-1:].isalnum()) + ", ".join(f"[{x.strip()}]" for x in t[m.end() : e].split(",")))
     return "".join(out)
 
 
@@ -171,7 +176,7 @@ def clean(text: str | None) -> str | None:
     """Clean text of a LaTeX source in which HTML, Markdown and wiki markup may stand: headings, lists, code and formulas are kept."""
     if not text:
         return text
-    t, kept = text.replace("\r\n", "\n"), _Kept()
+    t, kept = text.replace("\r\n", "\n"), _Kept(text)
     t = _FENCE.sub(lambda m: kept.put(m.group()), t)
     t = re.sub(rf"\\begin\{{({_CODE_ENV})\}}(?:\[[^\]]*\])?[ \t]*\n?(.*?)\n?[ \t]*\\end\{{\1\}}", lambda m: kept.put(f"```cpp\n{m.group(2)}\n```"), t, flags=re.S)
     t = re.sub(r"<pre[^>]*>\s*(?:<code[^>]*>)?(.*?)(?:</code>)?\s*</pre>", lambda m: kept.put(f"```cpp\n{html.unescape(m.group(1))}\n```"), t, flags=re.S | re.I)
@@ -182,10 +187,7 @@ def clean(text: str | None) -> str | None:
     for env, name in _NOTE_ENV.items():
         t = re.sub(rf"\\begin\{{{env}\}}\s*(.*?)\s*\\end\{{{env}\}}", lambda m, n=name: f"[{n}: {m.group(1)} --end {n.lower()}]", t, flags=re.S)
     t = _lists(t)
-    while m := _HEADING.search(t):
-        e = _argument(t, m.end() - 1)
-        title = t[m.end() : e] if e >= 0 else ""
-        t = t[: m.start()] + f"# {title}" + (t[e + 1 :] if e >= 0 else t[m.end() :])
+    t = _each_group(t, _HEADING, lambda title: f"# {title or ''}")
     t = re.sub(r"^[ \t]*<h[1-6][^>]*>(.*?)</h[1-6]>[ \t]*$", r"# \1", t, flags=re.M | re.I)
     t = re.sub(r"^[ \t]*(={2,6})[ \t]*([^=\n]+?)[ \t]*\1[ \t]*$", r"# \2", t, flags=re.M)
     t = re.sub(r"^#{1,6}[ \t]+(.*?)[ \t]*#*[ \t]*$", r"# \1", t, flags=re.M)
@@ -201,7 +203,7 @@ def clean(text: str | None) -> str | None:
     t = re.sub(r"\\\\(?:\[[^\]\n]*\])?(?=[ \t]*(?:\n|\Z))", "", t)
     t = re.sub(r"\{\\[a-z]{2,}\s+([^{}]*)\}", r"\1", t)
     t = re.sub(rf"\\(?:{_BARE})(?![A-Za-z])[ ]?", "", t)
-    t = re.sub(r"(?<=\w)~(?=[\w\[\ue000])", " ", t)
+    t = re.sub(rf"(?<=\w)~(?=[\w\[{kept.open}])", " ", t)
     # HTML, wiki, Markdown
     t = re.sub(r"<br\s*/?>", "\n", t, flags=re.I)
     t = re.sub(r"^[ \t]*<li[^>]*>(.*?)(?:</li>)?[ \t]*$", r"- \1", t, flags=re.M | re.I)

@@ -309,12 +309,13 @@ def _record_key() -> F.Column:
 
 
 def _oriented(people: DataFrame) -> DataFrame:
-    """Family and given name changed places where their use elsewhere tells so."""
+    """Family and given name changed places where their use elsewhere tells so; where it tells nothing, in the order of the alphabet."""
     votes = people.where("given <> ''").select(F.explode(F.array(F.struct(F.col("given").alias("token"), F.lit(1).alias("g")), F.struct(F.col("family").alias("token"), F.lit(0).alias("g")))).alias("v"))
     sure = people.where("given = ''").select(F.struct(F.col("family").alias("token"), F.lit(0).alias("g")).alias("v"))
     score = votes.unionByName(sure).groupBy("v.token").agg(F.avg("v.g").alias("score"))
     a, b = score.select(F.col("token").alias("given"), F.col("score").alias("sg")), score.select(F.col("token").alias("family"), F.col("score").alias("sf"))
-    swap = ~F.col("ordered") & (F.coalesce("sg", F.lit(1.0)) < 0.5) & (F.coalesce("sf", F.lit(0.0)) > 0.5)
+    sg, sf = F.coalesce("sg", F.lit(1.0)), F.coalesce("sf", F.lit(0.0))
+    swap = ~F.col("ordered") & (((sg < 0.5) & (sf > 0.5)) | ((sg == sf) & (F.col("given") > F.col("family"))))
     out = people.join(a, "given", "left").join(b, "family", "left").withColumn("swap", swap)
     return out.select(
         "value", "kind", F.when(F.col("swap"), F.col("given")).otherwise(F.col("family")).alias("family"),

@@ -10,6 +10,7 @@ from quillspark.llm.markup import clean_texts, find_residue
 from quillspark.llm.name_variants import variant_clusters, variant_pairs
 from quillspark.llm.packing import CAPACITY, pack_documents, token_sizes
 from quillspark.llm.quality import document_kinds, document_stats
+from quillspark.llm.shared_runs import shared_runs
 from quillspark.llm.splitting import LIMIT, split_entries
 from quillspark.operators.packed_fields import AUTHORS, split_packed
 from quillspark.session import table
@@ -48,6 +49,13 @@ def p5_texts(spark: SparkSession, d: str) -> DataFrame:
     return clean_texts(table(spark, d, "standard_sections"), "id", "raw_latex", "cleaned_text").select("id", "clean_text")
 
 
+def p5_shared(spark: SparkSession, d: str) -> DataFrame:
+    """How much of every cleaned section stands in runs that other sections of its draft have too."""
+    runs = shared_runs(table(spark, d, "standard_sections"), "draft_tag", "id", "cleaned_text")
+    size = F.col("end_char") - F.col("start_char")
+    return runs.groupBy(F.col("host").alias("draft_tag"), F.col("page").alias("id")).agg(F.sum(F.when(F.col("shared"), size).otherwise(0)).alias("shared_chars"), F.sum(size).alias("chars"))
+
+
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     """The container of every document."""
     return pack_documents(token_sizes(table(spark, d, "documents"), "doc_id", "text"), "doc_id")
@@ -97,7 +105,7 @@ def p9_stats(spark: SparkSession, d: str) -> DataFrame:
     return document_stats(table(spark, d, "documents"), _common_words(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_entities, p5_found, p5_texts, p7_packed, p7_fill, p8_found, p8_near, p8_items, p9_found, p9_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_entities, p5_found, p5_texts, p5_shared, p7_packed, p7_fill, p8_found, p8_near, p8_items, p9_found, p9_stats)}
 
 ORACLES = {
     "p2_found": f"""

@@ -38,3 +38,16 @@ def test_tables(spark):
     assert got[1] == ("x", []) and got[2][0] is None and got[3][0] == ""
     assert find_residue(df.limit(0), "id", "cleaned").count() == 0
     assert find_residue(spark.createDataFrame([(9, "", "*a* " * 100_000, "")], df.schema), "id", "cleaned").count() == 1
+
+
+def test_marks_of_its_own_in_a_text():
+    assert clean("see \ue000 5 \ue001 and \ue0005\ue001 \\tcode{x}") == "see \ue000 5 \ue001 and \ue0005\ue001 x"
+
+
+def test_any_number_and_depth_of_commands():
+    deep = "core"
+    for _ in range(3000):
+        deep = "\\tcode{" + deep + "}"
+    assert clean(deep) == "core"
+    assert clean("\\index{a}" * 250_000 + "end") == "end"
+    assert clean("\\begin{note}\\begin{codeblock}\nint $x$;\n\\end{codeblock} and $a\\_b$ \\_ \\end{note}") == "[Note: ```cpp\nint $x$;\n``` and $a\\_b$ _ --end note]"

@@ -12,6 +12,7 @@ PEOPLE = {
     "five": ["Putka Research Institute", "Putka Rsch. Inst.", "The Putka Research Institute", "Putka Research Institute, GmbH", "PUTKA RESEARCH INSTITUTE"],
     "six": ["Putka Systems", "Putka Sys. Inc."],
     "seven": ["Nuska and Partners", "Nuska & Partners", "Nuska + Partners Ltd"],
+    "ten": ["Farid Calgifahind", "Calgifahind Farid"],
     "eight": ["Nathaniel Folrazozuck"], "nine": ["Nathaniel Ralku"],
 }
 
