@@ -13,6 +13,8 @@ class Model:
     base: np.ndarray
     trees: list[list[tuple]] = field(default_factory=list)  # per round, a tree per class
     temperature: float = 1.0
+    shift: np.ndarray | float = 0.0  # added to the scores: what the sample's shares leave out
+    thresholds: np.ndarray | None = None  # the probability that each class but the first needs
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         out = np.tile(self.base, (len(x), 1))
@@ -22,7 +24,23 @@ class Model:
         return out
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        return _softmax(self.scores(x) / self.temperature)
+        return _softmax((self.scores(x) + self.shift) / self.temperature)
+
+    def decided(self, p: np.ndarray) -> np.ndarray:
+        """The class of each row of probabilities: the likeliest of those that reach their threshold, else the first."""
+        if not len(p):
+            return np.zeros(0, int)
+        if self.thresholds is None:
+            return p.argmax(axis=1)
+        reached = np.where(p >= self.thresholds, p, -1.0)
+        reached[:, 0] = 0.0
+        return reached.argmax(axis=1)
+
+
+def prior_shift(counts: np.ndarray) -> np.ndarray:
+    """Score shift of classes that were trained in equal shares but occur `counts` times; unseen ones count as one."""
+    seen = np.maximum(counts, 1)
+    return np.log(seen / seen.sum()) - np.log(1 / len(seen))
 
 
 def _softmax(s: np.ndarray) -> np.ndarray:
@@ -106,10 +124,19 @@ def train(x: np.ndarray, y: np.ndarray, classes: tuple[str, ...], rounds: int =
 
 
 def calibrate(model: Model, x: np.ndarray, y: np.ndarray) -> Model:
-    """Set the temperature that makes the probabilities fit a checked holdout best."""
+    """Set the temperature that fits a checked holdout best, and for each class but the first the threshold with the best F1 there (ties: nearest to 1/2)."""
     if len(x):
-        s = model.scores(x)
+        s = model.scores(x) + model.shift
         grid = np.geomspace(0.25, 8, 41)
         loss = [-np.log(_softmax(s / t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(loss))])
+        p = model.probabilities(x)
+        cuts = np.arange(0.1, 0.95, 0.05)
+        model.thresholds = np.zeros(len(model.classes))
+        for k in range(1, len(model.classes)):
+            hit = p[:, k, None] >= cuts
+            good, bad, lost = (hit & (y == k)[:, None]).sum(0), (hit & (y != k)[:, None]).sum(0), (~hit & (y == k)[:, None]).sum(0)
+            f1 = 2 * good / np.maximum(2 * good + bad + lost, 1)
+            best = np.nonzero(f1 >= f1.max() - 1e-12)[0]
+            model.thresholds[k] = cuts[best[np.argmin(np.abs(cuts[best] - 0.5))]]
     return model

@@ -21,12 +21,16 @@ WINDOW = 5
 
 BLANK, PLAIN, LIST, TABLE, JUNK = range(5)
 
-#: Document statistics, in this order.
-FEATURES = (
+#: Shares of the visible characters that the rules for lines call text, list, table or junk.
+SHARES = ("plain_share", "list_share", "table_share", "junk_share")
+#: Document statistics that no rule for lines enters, in this order.
+MEASURES = (
     "words", "mean_word", "symbol_ratio", "digit_ratio", "upper_ratio", "blank_ratio", "strange_ratio", "lines", "mean_line",
-    "end_mark_ratio", "common_ratio", "bullet_share", "table_share", "list_share", "junk_share", "repeat_share", "long_word_share",
-    "plain_share", "plain_words_line", "plain_common", "plain_continue", "short_line_share", "distinct_lines", "odd_inside",
+    "end_mark_ratio", "common_ratio", "bullet_share", "repeat_share", "long_word_share", "words_line", "short_line_share", "distinct_lines", "odd_inside",
+    "pipe_ratio", "tab_ratio", "tight_comma_ratio", "gap_ratio", "ampersand_ratio", "cell_ratio", "brace_ratio", "semicolon_ratio",
+    "sentence_chars", "wordless_chars", "bullet_chars", "delimited_chars", "unspaced_chars", "odd_chars", "short_chars", "again_chars", "runs_on",
 )
+FEATURES = (*MEASURES, *SHARES)
 
 
 @functools.cache
@@ -223,33 +227,35 @@ class Scan:
         letters = share("lower", "upper", "letter")
         common = self.common / np.maximum(self.words, 1)
         # tables: cells in a row
-        pipe = (self.c("pipe") >= 2) & ((self.head == 124) | (self.c("pipe") >= 3))
+        jumbled = self.odd / np.maximum(self.words, 1)
+        pipe = (self.c("pipe") >= 2) & ((self.head == 124) | ((self.c("pipe") >= 3) & (jumbled <= 0.1)))
         tab = self.c("tab") - np.minimum(self.indent, self.c("tab")) >= 2
         csv = (self.tight_commas >= 2) & (self.tight_commas >= 0.6 * self.c("comma")) & (self.c("blank") <= 0.35 * length)
-        aligned = self.gaps >= 2
+        csv &= jumbled <= 0.1
+        aligned = (self.gaps >= 2) & (jumbled <= 0.1)
         latex = (self.c("ampersand") >= 1) & (self.tail == 92)
-        tags = self.cells >= 1
+        tags = (self.cells >= 1) & (jumbled <= 0.1)
         kind[pipe | tab | csv | aligned | latex | tags] = TABLE
         # lists: short entries
         entry = (self.bullet | self.number) & (length <= 160) & (self.words >= 1)
         kind[entry & ~aligned & ~tab & ~pipe] = LIST
         index = (self.c("digit") >= 1) & (self.words >= 1) & (self.words <= 4) & (self.c("comma") >= 1) & (common < 0.3) & (length <= 80) & ~csv
         kind[index & (self.c("digit") + self.c("comma") >= 0.2 * vis)] = LIST
-        run = (self.c("semicolon") >= 4) & (length / (self.c("semicolon") + 1) <= 48) & (common < 0.2) & (letters > 0.8)
+        run = (self.c("semicolon") >= 4) & (length / (self.c("semicolon") + 1) <= 48) & (common < 0.2) & (letters > 0.8) & (jumbled <= 0.1)
         kind[run] = LIST
         # junk: nothing readable
         spaced = self.c("blank") / np.maximum(length, 1)
         noise = (length >= 20) & (share("symbol", "brace", "angle", "pipe", "semicolon", "ampersand", "colon") + share("digit") > 0.45) & (letters < 0.5) & ~(pipe & (self.head == 124)) & ~tab & ~csv & ~tags & ~latex & ~aligned & ~index
         # cell marks by chance: too many other signs
         noise |= (length >= 20) & (share("symbol", "brace", "angle", "semicolon", "ampersand") > 0.25) & (letters < 0.45) & ~tags & ~latex
-        hexes = (length >= 20) & (self.c("blank") >= 6) & (vis / np.maximum(self.c("blank") + 1, 1) <= 4) & (share("digit") > 0.3) & (self.c("upper") == 0) & (share("lower", "digit") > 0.95)
+        hexes = (length >= 20) & (self.c("blank") >= 6) & (vis >= 1.5 * (self.c("blank") + 1)) & (vis <= 4 * (self.c("blank") + 1)) & (share("digit") > 0.3) & (self.c("upper") == 0) & (share("lower", "digit") > 0.95)
         packed = (length >= 30) & (spaced < 0.02) & (self.c("tab") == 0) & ~csv & ~pipe & ~tags & (self.words >= 1)
         packed &= (share("digit") > 0.02) | (self.long_chars > 0.3 * vis) | (self.c("upper") > 0.15 * vis) | (self.c("brace") >= 2)
         style = (self.c("brace") >= 2) & (self.c("colon") + self.c("semicolon") >= 3) & (spaced < 0.1)
         mojibake = (length >= 8) & (share("strange") > 0.15)
-        jumble = (length >= 30) & (self.odd / np.maximum(self.words, 1) > 0.2) & (common < 0.3) & ~pipe & ~tab & ~csv & ~tags
+        jumble = (length >= 30) & (jumbled > 0.1) & (common < 0.3) & ~pipe & ~tab & ~csv & ~tags
         glued = (length >= 30) & (self.long_chars > 0.5 * vis)
-        salad = (length >= 60) & (self.words >= 8) & (common < 0.04) & ~entry & (letters > 0.8) & ~run & (kind == PLAIN)
+        salad = (length >= 60) & (self.words >= 8) & (common < np.where(self.words >= 20, 0.12, 0.04)) & ~entry & (letters > 0.8) & ~run & (kind == PLAIN)
         junk = noise | hexes | packed | style | mojibake | jumble | glued | salad
         kind[junk] = JUNK
         kind[(self.repeat > 0.5 * np.maximum(length - 1, 1))] = JUNK
@@ -261,6 +267,14 @@ class Scan:
         self._plain_blocks(kind, common)
         return kind
 
+    def _runs_on(self) -> np.ndarray:
+        """Lines that don't end a sentence and are followed by a small letter."""
+        out = np.zeros(len(self.length), bool)
+        if len(out) > 1:
+            tail, head = self.tail[:-1], self.head[1:]
+            out[:-1] = ~np.isin(tail, [46, 33, 63, 58, 59, 0]) & (((head >= 97) & (head <= 122)) | np.isin(head, [96, 40])) & (self.text_of[1:] == self.text_of[:-1])
+        return out
+
     def _plain_blocks(self, kind: np.ndarray, common: np.ndarray) -> None:
         """Blocks of short plain lines are lists if they hold few common words and do not run on."""
         n = len(kind)
@@ -268,12 +282,6 @@ class Scan:
         sentence = (kind == LIST) & (self.words >= 12) & (common > 0.3) & ~((self.c("semicolon") >= 4))
         kind[sentence] = PLAIN
         short = (kind == PLAIN) & (self.length <= 100)
-        runs_on = np.zeros(n, bool)
-        if n > 1:
-            tail, head = self.tail[:-1], self.head[1:]
-            open_ = ~np.isin(tail, [46, 33, 63, 58, 59])
-            lower = ((head >= 97) & (head <= 122)) | np.isin(head, [96, 40])
-            runs_on[:-1] = open_ & lower & short[:-1] & short[1:]
         new = np.ones(n, bool)
         if n > 1:
             new[1:] = (short[1:] != short[:-1]) | (self.text_of[1:] != self.text_of[:-1])
@@ -288,26 +296,30 @@ class Scan:
         kind[short & listed[block]] = LIST
         wordless = short & (few[block] < 0.03) & (words[block] >= 25) & (size[block] > 9.5)
         kind[wordless] = JUNK
-        self.runs_on = runs_on
 
     def features(self) -> np.ndarray:
         t, n = self.text_of, self.n_texts
         by = lambda w: _sum_by(t, n, w)
         vis = np.maximum(by(self.visible), 1)
         words, solid = by(self.words), by((~self.empty).astype(float))
-        plain = self.kind == PLAIN
-        p_lines, p_words = by(plain), by(self.words * plain)
         of = lambda k: by(self.visible * (self.kind == k)) / vis
+        chars = lambda lines: by(self.visible * (lines & ~self.empty)) / vis
         ended = np.isin(self.tail, [46, 33, 63, 58, 34, 39, 41, 0x201D]) & ~self.empty
         uniq = _repeated(self.codes, self.first, self.end, t)
         one = lambda a, b: a / np.maximum(b, 1)
+        common, each = self.common / np.maximum(self.words, 1), np.maximum(self.visible, 1)
+        marks = self.c("pipe") + self.c("tab") + self.tight_commas + self.gaps + self.c("ampersand") + self.cells
         cols = [
             words, one(by(self.word_chars), words), by(self.c("symbol") + self.c("brace") + self.c("angle") + self.c("pipe") + self.c("semicolon")) / vis,
             by(self.c("digit")) / vis, by(self.c("upper")) / vis, one(by(self.c("blank")), by(self.length)), by(self.c("strange")) / vis,
             solid, one(by(self.length), solid), one(by(ended), solid), one(by(self.common), words), one(by(self.bullet | self.number), solid),
-            of(TABLE), of(LIST), of(JUNK), by(np.minimum(self.repeat, self.visible)) / vis, by(self.long_chars) / vis,
-            of(PLAIN), one(p_words, p_lines), one(by(self.common * plain), p_words), one(by(self.runs_on), p_lines),
-            one(by((self.length < 60) & ~self.empty), solid), one(by(~self.empty / np.maximum(uniq, 1)), solid), one(by(self.odd), words),
+            by(np.minimum(self.repeat, self.visible)) / vis, by(self.long_chars) / vis, one(words, solid), one(by((self.length < 60) & ~self.empty), solid),
+            one(by(~self.empty / np.maximum(uniq, 1)), solid), one(by(self.odd), words),
+            by(self.c("pipe")) / vis, by(self.c("tab")) / vis, by(self.tight_commas) / vis, by(self.gaps) / vis, by(self.c("ampersand")) / vis, by(self.cells) / vis,
+            by(self.c("brace")) / vis, by(self.c("semicolon")) / vis,
+            chars((common >= 0.25) & (self.words >= 4)), chars(common < 0.05), chars(self.bullet | self.number), chars(marks >= 2),
+            chars(self.c("blank") < 0.03 * self.length), chars(self.odd > 0.1 * self.words), chars(self.length < 60), chars(self.repeat > 0.5 * each), one(by(self._runs_on()), solid),
+            of(PLAIN), of(LIST), of(TABLE), of(JUNK),
         ]
         return np.stack(cols, axis=1)
 
