@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.convert import html as h
-from quillspark.session import ship
+from quillspark.session import checkpointed, lookup_join, ship
 
 
 def html_documents(df: DataFrame, key: str, html: str) -> DataFrame:
@@ -130,7 +130,7 @@ def dehyphenated(lines: DataFrame) -> DataFrame:
 
 def heading_levels(lines: DataFrame, spans: DataFrame) -> DataFrame:
     """Lines above body size, or bold ones with a number, with a level by font rank or by the number's parts, and how sure that is."""
-    x = lines.join(F.broadcast(body_size(spans)), "doc")
+    x = lookup_join(lines, checkpointed(body_size(spans)), ["doc"], "inner")
     number = F.regexp_extract("text", r"^\s*(\d+(?:\.\d+)*)\.?\s+\S", 1)
     large = F.round("size", 1) > F.col("body")
     x = x.where((large | ((F.col("bold") > 0.8) & (number != ""))) & (F.length("text") <= 200))

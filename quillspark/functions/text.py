@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns of ids, addresses and labels.
 PAPER_ID = r"\b(?:[PD]\d{4,5}R\d+|N\d{4,5})\b"
 LOOSE_ID = r"\b[DPN]\d{4,5}(?:R\d+)?\b"
 URL = r"https?://[^\s<>\)\]\"']+"
@@ -73,7 +74,7 @@ def folded_quotes(c: Column) -> Column:
 def coverage_text(c: Column) -> Column:
     """Lower case, plain quotes, line-end hyphens joined (but after self, non, well and cross), punctuation to blanks."""
     x = folded_quotes(F.replace(c, F.lit("\ufffd"), F.lit("")))
-    x = F.regexp_replace(x, r"(?i)(?<!\bself)(?<!\bnon)(?<!\bwell)(?<!\bcross)(?<=\p{L})-\n(?=\p{Ll})", "")
+    x = F.regexp_replace(x, r"(?<!\b(?i:self))(?<!\b(?i:non))(?<!\b(?i:well))(?<!\b(?i:cross))(?<=\p{L})-\n(?=\p{Ll})", "")
     return collapse(F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}_\s]", " "))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.measures import word_counts
+from quillspark.operators.retrieval import vector_topk
 from quillspark.operators.sequence import ordered_places
 
 
@@ -40,7 +41,8 @@ def agreement_at(df: DataFrame, grains: list[str], left: str, right: str) -> Dat
     """(grain values, agreement): common words over the larger multiset, of all rows of each grain value."""
     key = F.to_json(F.struct(*grains))
     x = df.where(F.col(left).isNotNull() & F.col(right).isNotNull()).withColumn("_k", key)
-    a, b = word_counts(x, "_k", left), word_counts(x, "_k", right).withColumnRenamed("n", "m")
+    whole = lambda c: word_counts(x, "_k", c).groupBy("_k", "token").agg(F.sum("n").alias("n"))
+    a, b = whole(left), whole(right).withColumnRenamed("n", "m")
     j = a.join(b, ["_k", "token"], "full").fillna(0, ["n", "m"]).groupBy("_k").agg(F.sum(F.least("n", "m")).alias("both"), F.greatest(F.sum("n"), F.sum("m")).alias("all"))
     names = x.select("_k", *grains).distinct()
     return names.join(j, "_k").select(*grains, (F.col("both") / F.col("all")).alias("agreement"))
@@ -53,6 +55,13 @@ def ngram_overlap(a: Column, b: Column, n: int = 3) -> Column:
     return F.when(F.size(F.array_union(x, y)) == 0, 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
 
 
+def nearest_known(vectors: DataFrame, candidates: DataFrame, key: str, vector: str, known: float) -> DataFrame:
+    """(key, best, verdict): the best cosine of each candidate with another vector; known if it reaches `known`, else new."""
+    top = vector_topk(candidates, key, vectors.withColumnRenamed(key, "_other"), "_other", vector, 2, least=-2.0)  # itself and another one
+    best = top.where(F.col(key) != F.col("_other")).groupBy(key).agg(F.max("score").alias("best"))
+    return best.select(key, "best", F.when(F.col("best") < known, "new").otherwise("known").alias("verdict"))
+
+
 def handles_unknown(df: DataFrame, key: str, text: str, roster: DataFrame, name: str) -> DataFrame:
     """(key, handle) of @handles outside code fences that no roster row has."""
     plain = F.regexp_replace(text, r"(?ms)^\s*```.*?^\s*```\s*$", "")

@@ -70,7 +70,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         both = work.unionByName(work.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("from"), F.least("a", "m").alias("to")).where("`from` <> `to`"))
         if hook.isEmpty():
-            return label
+            return label.select("node", "component")
         while True:  # follow the pointers to their ends
             far = hook.select("to").distinct().join(hook.select(F.col("from").alias("to"), F.col("to").alias("top")), "to").select(F.col("to").alias("from"), F.col("top").alias("to"))
             far = checkpointed(far)

@@ -17,90 +17,127 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.sequence import running_totals
-from quillspark.session import checkpointed, ship
+from quillspark.session import BROADCAST_BYTES, broadcast_if_small, checkpointed, lookup_join, measured_bytes, ship
 
 WORD = r"[\p{L}\p{N}_]+"
+_WORD = re.compile(r"\w+")  # letters, numbers and underscores
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def counted(text: str) -> Counter:
+    return Counter(_WORD.findall(text.lower()))
+
+
 def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, token, n)."""
-    return df.select(key, F.explode(words(F.col(text))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
+    """(key, token, n), counted within each row where it lies; a repeated key has rows of its own."""
+    ship(df.sparkSession)
 
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [(k, w, n) for k, t in zip(b["k"], b["t"]) for w, n in counted(t).items()]
+            yield pd.DataFrame(got, columns=[key, "token", "n"])
 
-#: Words of the references that may travel with every task.
-REFERENCE_WORDS = 2_000_000
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null")
+    return rows.mapInPandas(count, f"{key} {dict(df.dtypes)[key]}, token string, n long")
 
 
-def multiset_recall(refs: DataFrame, ref_key: str, ref_text: str, hyps: DataFrame, hyp_key: str, hyp_text: str, most_words: int = REFERENCE_WORDS) -> DataFrame:
-    """(ref_key, hyp_key, matched, recall) of all pairs that share a token: sum of least counts over the reference's size.
+def multiset_recall(refs: DataFrame, ref_key: str, ref_text: str, hyps: DataFrame, hyp_key: str, hyp_text: str, least: float = 0.0, best: bool = False, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """(ref_key, hyp_key, matched, recall) of the pairs with a recall of at least `least`: sum of least counts over the reference's size.
 
-    The references are the small side (a fixed set of queries).  While their
-    counts stay within `most_words` rows they go to the tasks, which score each
-    text where it lies, without any shuffle; beyond that the counts are joined.
+    best: of each reference, only the pair of the highest recall (ties: the
+    smallest hyp_key), of which a task gives on no more than one a batch.
+    Pairs without a shared token have no row.  The references are the small side (a stated set of queries).  While
+    their counts, measured, stay within `limit` bytes they go to the tasks,
+    which score each text where it lies, without any shuffle; beyond that the
+    counts are joined by token, from which a hot token is taken apart.
     """
-    r = word_counts(refs.where(F.col(ref_text).isNotNull()), ref_key, ref_text)
-    size = r.groupBy(ref_key).agg(F.sum("n").alias("size"))
-    if r.limit(most_words + 1).count() <= most_words:
-        pairs = _scored_in_place(r.toPandas(), dict(refs.dtypes)[ref_key], ref_key, hyps, hyp_key, hyp_text)
+    r = checkpointed(word_counts(refs, ref_key, ref_text).groupBy(ref_key, "token").agg(F.sum("n").alias("n")))
+    size = checkpointed(r.groupBy(ref_key).agg(F.sum("n").alias("size")))
+    if measured_bytes(r) <= limit:
+        pairs = _scored_in_place(r, size, ref_key, hyps, hyp_key, hyp_text, least, best)
     else:
-        h = word_counts(hyps.where(F.col(hyp_text).isNotNull()), hyp_key, hyp_text).withColumnRenamed("n", "m")
-        pairs = h.join(r, "token").groupBy(ref_key, hyp_key).agg(F.sum(F.least("n", "m")).alias("matched"))
-    return pairs.join(F.broadcast(size), ref_key).select(ref_key, hyp_key, "matched", (F.col("matched") / F.col("size")).alias("recall"))
-
-
-def _scored_in_place(counts: pd.DataFrame, ref_kind: str, ref_key: str, hyps: DataFrame, hyp_key: str, hyp_text: str) -> DataFrame:
-    ship(hyps.sparkSession)
-    names, row = np.unique(counts[ref_key].to_numpy(), return_inverse=True)
-    words = {t: k for k, t in enumerate(sorted(set(counts["token"])))}
-    col = counts["token"].map(words).to_numpy(int) if len(counts) else np.zeros(0, int)
+        h = word_counts(hyps, hyp_key, hyp_text).withColumnRenamed("n", "m")
+        by_token = checkpointed(r.groupBy("token").agg(F.collect_list(F.struct(ref_key, "n")).alias("refs")))
+        pairs = lookup_join(h, by_token, ["token"], "inner", limit).select(hyp_key, "m", F.explode("refs").alias("r")).select("r.*", hyp_key, "m")
+        pairs = pairs.groupBy(ref_key, hyp_key).agg(F.sum(F.least("n", "m")).alias("matched"))
+    side, _ = broadcast_if_small(size, limit)
+    out = pairs.join(side, ref_key).select(ref_key, hyp_key, "matched", (F.col("matched") / F.col("size")).alias("recall")).where(F.col("recall") >= least)
+    if not best:
+        return out
+    top = out.groupBy(ref_key).agg(F.min_by(F.struct(hyp_key, "matched", "recall"), F.struct(-F.col("recall"), hyp_key)).alias("b"))
+    return top.select(ref_key, "b.*")
+
+
+def _scored_in_place(counts: DataFrame, sizes: DataFrame, ref_key: str, hyps: DataFrame, hyp_key: str, hyp_text: str, least: float, best: bool) -> DataFrame:
+    """Scores by an inverted index of the references' counts, whose size has been measured."""
+    pdf, size = counts.toPandas(), dict(sizes.toPandas().itertuples(index=False))
+    names, row = np.unique(pdf[ref_key].to_numpy(), return_inverse=True)
+    total_of = np.array([size[x] for x in names], float)
+    known = {t: k for k, t in enumerate(sorted(set(pdf["token"])))}
+    col = pdf["token"].map(known).to_numpy(int) if len(pdf) else np.zeros(0, int)
     by_word = np.argsort(col, kind="stable")
-    start = np.searchsorted(col[by_word], np.arange(len(words) + 1))
-    row, n = row[by_word], counts["n"].to_numpy(np.int64)[by_word]
-    token = re.compile(r"\w+")  # letters, numbers and underscores
+    start = np.searchsorted(col[by_word], np.arange(len(known) + 1))
+    row, n = row[by_word], pdf["n"].to_numpy(np.int64)[by_word]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            refs_, hyps_, matched = [], [], []
+            got: list[tuple] = []
+            top: dict[int, tuple] = {}
             for key, text in zip(b["k"], b["t"]):
-                have = Counter(token.findall(text.lower()))
-                known = [(words[w], m) for w, m in have.items() if w in words]
-                if not known:
+                have = [(known[w], m) for w, m in counted(text).items() if w in known]
+                if not have:
                     continue
-                k, m = (np.array(x) for x in zip(*known))
+                k, m = (np.array(x) for x in zip(*have))
                 width = start[k + 1] - start[k]
                 at = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(start[k], width)
                 total = np.bincount(row[at], weights=np.minimum(n[at], np.repeat(m, width)), minlength=len(names))
-                hit = np.nonzero(total)[0]
-                refs_.append(names[hit])
-                hyps_.append(np.full(len(hit), key))
-                matched.append(total[hit].astype(np.int64))
-            if refs_:
-                yield pd.DataFrame({ref_key: np.concatenate(refs_), hyp_key: np.concatenate(hyps_), "matched": np.concatenate(matched)})
-
-    kind = dict(hyps.dtypes)[hyp_key]
+                for i in np.nonzero((total > 0) & (total >= least * total_of - 1e-9))[0]:
+                    if not best:
+                        got.append((names[i], key, int(total[i])))
+                    elif i not in top or (-total[i], key) < top[i]:
+                        top[i] = (-total[i], key)
+            got += [(names[i], key, int(-t)) for i, (t, key) in top.items()]
+            yield pd.DataFrame(got, columns=[ref_key, hyp_key, "matched"])
+
     rows = hyps.select(F.col(hyp_key).alias("k"), F.col(hyp_text).alias("t")).where("t is not null")
-    return rows.mapInPandas(score, f"{ref_key} {ref_kind}, {hyp_key} {kind}, matched long")
+    return rows.mapInPandas(score, f"{ref_key} {dict(counts.dtypes)[ref_key]}, {hyp_key} {dict(hyps.dtypes)[hyp_key]}, matched long")
+
+
+def _compared(df: DataFrame, key: str, a: str, b: str, result: str, of) -> DataFrame:
+    """(key, *result) of two texts per row, where the row lies; null texts are empty."""
+    ship(df.sparkSession)
+    names = [key, *(c.split()[0] for c in result.split(", "))]
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            yield pd.DataFrame([(k, *of(p or "", q or "")) for k, p, q in zip(x["k"], x["a"], x["b"])], columns=names)
+
+    return df.select(F.col(key).alias("k"), F.col(a).alias("a"), F.col(b).alias("b")).mapInPandas(each, f"{key} {dict(df.dtypes)[key]}, {result}")
 
 
 def pairwise_coverage(df: DataFrame, key: str, source: str, target: str) -> DataFrame:
     """(key, coverage, drift) of two texts per row, by word multisets: lost from the source, and added by the target."""
-    s, t = word_counts(df, key, source), word_counts(df, key, target).withColumnRenamed("n", "m")
-    j = s.join(t, [key, "token"], "full").groupBy(key).agg(F.sum(F.least(F.coalesce("n", F.lit(0)), F.coalesce("m", F.lit(0)))).alias("both"), F.coalesce(F.sum("n"), F.lit(0)).alias("a"), F.coalesce(F.sum("m"), F.lit(0)).alias("b"))
-    ratio = lambda x, n, empty: F.when(F.col(n) == 0, empty).otherwise(x / F.col(n))
-    j = df.select(key).join(j, key, "left").fillna(0, ["both", "a", "b"])
-    return j.select(key, ratio(F.col("both"), "a", 1.0).alias("coverage"), ratio(F.col("b") - F.col("both"), "b", 0.0).alias("drift"))
+
+    def of(a: str, b: str) -> tuple[float, float]:
+        x, y = counted(a), counted(b)
+        n, m, both = x.total(), y.total(), (x & y).total()
+        return both / n if n else 1.0, (m - both) / m if m else 0.0
+
+    return _compared(df, key, source, target, "coverage double, drift double", of)
 
 
 def char_conservation(df: DataFrame, key: str, before: str, after: str) -> DataFrame:
-    """(key, lost, extra): characters (without blanks) by multiset."""
-    chars = lambda c: df.select(key, F.explode(F.split(F.regexp_replace(c, r"\s", ""), "")).alias("c")).where("c <> ''").groupBy(key, "c")
-    j = chars(before).agg(F.count("*").alias("n")).join(chars(after).agg(F.count("*").alias("m")), [key, "c"], "full").fillna(0, ["n", "m"])
-    j = j.groupBy(key).agg(F.sum(F.greatest(F.col("n") - F.col("m"), F.lit(0))).alias("lost"), F.sum(F.greatest(F.col("m") - F.col("n"), F.lit(0))).alias("extra"))
-    return df.select(key).join(j, key, "left").fillna(0, ["lost", "extra"])
+    """(key, lost, extra): characters (without blanks, tabs and line ends) by multiset."""
+    blank = str.maketrans("", "", " \t\n\x0b\x0c\r")
+
+    def of(a: str, b: str) -> tuple[int, int]:
+        x, y = Counter(a.translate(blank)), Counter(b.translate(blank))
+        return (x - y).total(), (y - x).total()
+
+    return _compared(df, key, before, after, "lost long, extra long", of)
 
 
 def eligible_means(df: DataFrame, axes: list[str], group: list[str] = ()) -> DataFrame:

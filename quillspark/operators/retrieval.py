@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.session import against, checkpointed
+
 K1, B = 1.2, 0.75
 TOKEN = r"[\p{L}\p{N}_:<>]+"
 
@@ -22,15 +24,16 @@ def _count(tokens: Column, term: str) -> Column:
 def bm25(docs: DataFrame, key: str, fields: dict[str, float], terms: list[str], k: int, phrase: str | None = None) -> DataFrame:
     """(key, score) of the k best documents that have all terms (and the phrase); more negative is better, ties by key.
 
-    Field frequencies are weighted before saturation, as full-text stores do;
-    only the query's terms leave the scan, the document frequencies are a row
-    per term.
+    Field frequencies are weighted before saturation, as full-text stores do.
+    The texts are cut into words once; their sizes and the terms' frequencies,
+    a narrow row each, are kept for the statistics and the scores.
     """
     wanted = sorted({t.lower() for t in terms})
     toks = {f: _tokens(F.coalesce(F.col(f), F.lit(""))) for f in fields}
     size = reduce(lambda a, b: a + b, [F.size(t) for t in toks.values()])
     tf = [reduce(lambda a, b: a + b, [_count(toks[f], t) * F.lit(w) for f, w in fields.items()]).alias(f"t{i}") for i, t in enumerate(wanted)]
     rows = docs.select(key, size.alias("size"), *tf, *([F.lower(F.concat_ws(" ", *fields)).contains(phrase.lower()).alias("_p")] if phrase else []))
+    rows = checkpointed(rows)
     stats = rows.agg(F.count("*").alias("n"), F.avg("size").alias("avg"), *[F.count_if(F.col(f"t{i}") > 0).alias(f"d{i}") for i in range(len(wanted))])
     hit = reduce(lambda a, b: a & b, [F.col(f"t{i}") > 0 for i in range(len(wanted))])
     if phrase:
@@ -60,12 +63,14 @@ def cosine(a: Column, b: Column) -> Column:
 def vector_topk(queries: DataFrame, q_key: str, docs: DataFrame, d_key: str, vector: str, k: int, least: float = 0.3, group: str | None = None, per_group: int = 2, adjust: Column | None = None) -> DataFrame:
     """(q_key, d_key, score, place): the k best by adjusted cosine, at least `least` before adjustment, at most `per_group` of a group.
 
-    The queries are the small, stated set.  They are broadcast against the
-    documents' partitions in one pass, and each task keeps what can still win
-    (partial top lists by aggregate), so no sort of all pairs takes place.
+    The queries are a stated set and go against all documents in blocks, whose
+    measured size bounds what is broadcast.  Of the pairs at or above `least` each
+    partition keeps its best `k` (of a group its best `per_group`) by a window
+    that Spark cuts off early, before they are shuffled by query.
     """
     q = queries.select(F.col(q_key).alias("_q"), F.col(vector).alias("_v"))
-    pairs = docs.crossJoin(F.broadcast(q)).withColumn("_raw", cosine(F.col(vector), F.col("_v"))).where(F.col("_raw") >= least)
+    pairs = against(docs, q)
+    pairs = pairs.withColumn("_raw", cosine(F.col(vector), F.col("_v"))).where(F.col("_raw") >= least)
     score = F.col("_raw") + (adjust if adjust is not None else F.lit(0.0))
     entry = F.struct((-score).alias("s"), F.col(d_key).alias("d"))
     if group:

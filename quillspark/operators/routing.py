@@ -1,7 +1,7 @@
 """Rule-based routing of documents: units, section types, catalogue hits, densities, emission.
 
-A document is cut into units (headings, fenced blocks, sentences) by SQL
-functions; every unit gets the section type of the last heading and the set of
+A document is cut into units (headings, fenced blocks, rules of grammars,
+sentences) where it lies; every unit gets the section type of the last heading and the set of
 catalogue patterns that it meets; densities per section weigh into scores, the
 weaker domain is put aside, and groups are emitted that are both sustained and
 above their threshold.
@@ -9,11 +9,17 @@ above their threshold.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import has_phrase
+from quillspark.operators.segments import fenced_lines
 from quillspark.operators.sequence import neighbours_cofire
+from quillspark.session import ship
 
 GROUPS = ("LEWG", "LWG", "EWG", "CWG")
 # Domain and mode of each group, emission thresholds, margins.
@@ -102,26 +108,92 @@ def hits(text: Column) -> Column:
     return F.array_compact(F.array(*[F.when(text.rlike(("(?iUd)" if fold else "(?Ud)") + p), k) for k, (fold, p) in CATALOGUE.items()]))
 
 
+# Labels of normative elements, and words before a colon that are no rule of a grammar.
+LABELS = (
+    "Effects", "Returns", "Requires", "Remarks", "Throws", "Complexity", "Mandates", "Preconditions", "Postconditions", "Constraints",
+    "Error conditions", "Recommended practice", "Hardware constraints", "Synchronization", "Expects", "Notes",
+)
+NO_RULES = ("add", "modify", "insert", "strike", "delete")
+
+_LABEL = rf"\*{{0,2}}(?:{'|'.join(LABELS)})\*{{0,2}}\s*:"
+_LABEL_LINE = re.compile(rf"\s*{_LABEL}", re.I)
+_RULE_LINE = re.compile(rf"\s*(?!(?:{'|'.join(NO_RULES)})\s*:)[a-z][a-z0-9_-]*\s*:(?=\s*\S)(?!.*[A-Z])(?!.*[.!?](?:\s|$)).+")
+# a sentence ends before a capital, code or a bracket
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+(?=[A-Z`\[(À-ÞĀ-Ž])")
+
+
+def is_label_line(c: Column) -> Column:
+    """Whether a line starts with the label of a normative element."""
+    return c.rlike(rf"(?i)^\s*{_LABEL}")
+
+
+def is_rule_line(c: Column) -> Column:
+    """Whether a line is a rule of a grammar: a small name, a colon and neither capitals nor the end of a sentence after it."""
+    rhs = F.regexp_extract(c, r"^\s*[a-z][a-z0-9_-]*\s*:\s*(.+)$", 1)
+    return (rhs != "") & ~is_label_line(c) & ~c.rlike(rf"^\s*(?:{'|'.join(NO_RULES)})\s*:") & ~rhs.rlike(r"[A-Z]|[.!?](?:\s|$)")
+
+
+def _sentences(text: str) -> list[str]:
+    """A paragraph's sentences; labels start one where they stand at a line's start or after an instruction to add or modify."""
+    parts = []
+    for piece in re.split(rf"\n(?=[ \t]*{_LABEL})|(?i:(?<=add:)|(?<=modify:))\s+(?={_LABEL})", text, flags=re.I):
+        parts += _SENTENCE_END.split(piece)
+    return [p.strip() for p in parts if p.strip()]
+
+
+def text_units(text: str) -> list[tuple[int, str, str]]:
+    """(first line from 0, kind, unit) of headings, fenced blocks, rules of grammars and sentences, after the front matter."""
+    lines = re.split(r"\r?\n", text)
+    start = next((k + 1 for k in range(1, len(lines)) if lines[k] in ("---", "...")), 0) if lines[0] == "---" else 0
+    fenced = fenced_lines(lines)
+    out: list[tuple[int, str, str]] = []
+    held: list[str] = []
+    kind_before, first = "", 0
+
+    def close() -> None:
+        if kind_before == "fence":
+            out.append((first, "fence", "\n".join(held)))
+        elif held:
+            out.extend((first, "prose", s) for s in _sentences("\n".join(held)))
+        held.clear()
+
+    for k in range(start, len(lines)):
+        line = lines[k]
+        kind = "fence" if fenced[k] else "blank" if not line.strip() else "heading" if re.match(r"#{1,6}\s", line) else "rule" if _RULE_LINE.fullmatch(line) and not _LABEL_LINE.match(line) else "prose"
+        opens = kind == "fence" and (kind_before != "fence" or not fenced[k - 1] or _closed(held))
+        if held and (kind != kind_before or opens):
+            close()
+        if kind in ("heading", "rule"):
+            out.append((k, kind, line.strip()))
+        elif kind != "blank":
+            first = first if held else k
+            held.append(line)
+        kind_before = kind
+    close()
+    return out
+
+
+def _closed(block: list[str]) -> bool:
+    """Whether the lines of a fenced block end with the fence that closes it."""
+    mark = re.match(r"\s*(`{3,}|~{3,})", block[0]) if block else None
+    last = re.fullmatch(r"\s*(`{3,}|~{3,})\s*", block[-1]) if len(block) > 1 else None
+    return bool(mark and last and last.group(1)[0] == mark.group(1)[0] and len(last.group(1)) >= len(mark.group(1)))
+
+
 def units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, pos, line, kind, unit): headings, fenced blocks and sentences in order, with their first line from 0.
+    """(key, pos, line, kind, unit): headings, fenced blocks, rules of grammars and sentences in order, with their first line from 0.
 
-    Blocks are separated by blank lines outside fences; each is one row before
-    its sentences are split, so that no window over single lines is needed but
-    the one per document.
+    Every document is taken apart where it lies, in one pass.
     """
-    rows = docs.where(F.col(text).isNotNull()).select(key, F.posexplode(F.split(text, "\r?\n", -1)).alias("line", "s"))
-    w = Window.partitionBy(key).orderBy("line")
-    fence = F.col("s").rlike(r"^\s*(```|~~~)")
-    x = rows.withColumn("_f", F.sum(F.when(fence, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = (F.col("_f") % 2 == 1) | fence
-    kind = F.when(inside, "fence").when(F.col("s").rlike(r"^#{1,6}\s"), "heading").when(F.col("s").rlike(r"^\s*$"), "blank").otherwise("prose")
-    x = x.withColumn("kind", kind)
-    new = (F.col("kind") != F.lag("kind").over(w)) | (F.col("kind") == "heading") | (fence & (F.col("_f") % 2 == 1))
-    x = x.withColumn("_b", F.sum(F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("kind <> 'blank'")
-    b = x.groupBy(key, "_b", "kind").agg(F.min("line").alias("line"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "s"))), lambda r: r["s"]), "\n").alias("t"))
-    sentences = F.when(F.col("kind") == "prose", F.split("t", r"(?<=[.!?])\s+(?=[\p{Lu}`\[(])")).otherwise(F.array("t"))
-    u = b.select(key, "_b", "kind", "line", F.posexplode(sentences).alias("_s", "unit"))
-    return u.select(key, F.row_number().over(Window.partitionBy(key).orderBy("_b", "_s")).alias("pos"), "line", "kind", F.trim("unit").alias("unit"))
+    ship(docs.sparkSession)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [(k, pos, *u) for k, t in zip(b["k"], b["t"]) for pos, u in enumerate(text_units(t), 1)]
+            yield pd.DataFrame(got, columns=[key, "pos", "line", "kind", "unit"])
+
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
+    return rows.mapInPandas(cut, f"{key} {dict(docs.dtypes)[key]}, pos int, line int, kind string, unit string")
 
 
 def tagged_units(u: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -9,16 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import stable_uniform
-from quillspark.session import ship
+from quillspark.session import against, ship
 
 
 def votes(voters: DataFrame, targets: DataFrame, voter: str, target: str, participation: Column, upvote: Column, seed: str = "") -> DataFrame:
     """(voter, target, direction) of every voter and target of which the first draw says that the vote is cast.
 
-    Draws depend on the ids alone.  The voters are the small side; every task
-    makes the draws of its own targets.
+    Draws depend on the ids alone.  The voters are a stated set, taken in blocks
+    whose measured size bounds what is broadcast; every task makes the draws of
+    its own targets.
     """
-    j = targets.crossJoin(F.broadcast(voters))
+    j = against(targets, voters)
     u = stable_uniform(F.lit(f"{seed}vote"), F.col(voter), F.col(target))
     w = stable_uniform(F.lit(f"{seed}side"), F.col(voter), F.col(target))
     return j.where(u < participation).select(voter, target, F.when(w < upvote, 1).otherwise(-1).alias("direction"))

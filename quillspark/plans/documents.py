@@ -9,6 +9,7 @@ from quillspark.convert import operators as c
 from quillspark.functions import udfs
 from quillspark.operators import segments as g
 from quillspark.operators import simulate
+from quillspark.operators.containment import quote_lines
 from quillspark.operators.graph import connected_components
 from quillspark.session import checkpointed, spread, table
 
@@ -70,7 +71,7 @@ def h2_sections(spark, d):
     return g.document_sections(docs(spark, d))
 
 
-@query("""SELECT doc_id, '  ' || lpad((i)::VARCHAR, 5, ' ') || ': ' || line AS numbered FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE length(text) < 2000))""")
+@query("""SELECT doc_id, '  ' || lpad((i)::VARCHAR, 5, ' ') || ': ' || line AS numbered FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))""")
 def numbered_lines(spark, d):
     x = docs(spark, d).where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "line"))
     return x.select("doc_id", F.format_string("  %5d: %s", F.col("p") + 1, "line").alias("numbered"))
@@ -110,23 +111,24 @@ def jaccard_words(spark, d):
 
 @query()
 def fuzzy_substring(spark, d):
-    """Edits that make each paper's title a part of one of its documents' first lines."""
-    t = table(spark, d, "documents").where("paper_id is not null and text is not null").select("doc_id", "paper_id", F.substring_index("text", "\n\n", 1).alias("head"))
+    """Edits that make each paper's title a part of each of its documents, whole texts."""
+    t = table(spark, d, "documents").where("paper_id is not null and text is not null").select("doc_id", "paper_id", F.col("text").alias("head"))
     p = table(spark, d, "papers").where("title <> ''").groupBy("paper_id").agg(F.min_by("title", "scrape_id").alias("title"))
     return t.join(p, "paper_id").select("doc_id", udfs.near_substring("title", "head").alias("edits"))
 
 
-@query("""WITH q AS (SELECT item_id, regexp_replace(trim(lower(split_part(text, '. ', 1))), '\\s+', ' ', 'g') AS q FROM benchmark), l AS (SELECT doc_id, regexp_replace(trim(lower(unnest(l))), '\\s+', ' ', 'g') AS line, generate_subscripts(l, 1) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))
-  SELECT item_id, doc_id, min(n)::INT AS line FROM q JOIN l ON length(q) >= 20 AND contains(line, q) GROUP BY ALL""")
+_SQUEEZE = "trim(regexp_replace(lower({0}), '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH q AS (SELECT item_id, i, {_SQUEEZE.format("s")} AS q FROM (SELECT item_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (SELECT item_id, string_split(text, '. ') AS l FROM benchmark))), l AS (SELECT doc_id, {_SQUEEZE.format("unnest(l)")} AS line, {_SQUEEZE.format("unnest(m)")} AS two, generate_subscripts(l, 1) AS n FROM (SELECT doc_id, l, list_transform(list_zip(l, l[2:] || ['']), lambda z: z[1] || ' ' || z[2]) AS m FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)))
+  SELECT item_id, i::INT AS sentence, doc_id, coalesce(min(n) FILTER (contains(line, q)), min(n))::INT AS line, CASE WHEN bool_or(contains(line, q)) THEN 1 ELSE 2 END::INT AS lines FROM q JOIN l ON length(q) >= 20 AND contains(two, q) GROUP BY ALL""")
 def quote_grounding(spark, d):
-    """First line of each document that holds the first sentence of an item (a fixed set of quotes, found through shared eight-word runs)."""
-    squeeze = lambda x: F.regexp_replace(F.trim(F.lower(x)), r"\s+", " ")
-    q = table(spark, d, "benchmark").select("item_id", squeeze(F.substring_index("text", ". ", 1)).alias("q")).where("length(q) >= 20")
-    x = docs(spark, d).where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "s")).select("doc_id", (F.col("p") + 1).alias("n"), squeeze("s").alias("line"))
-    grams = lambda c: F.expr(f"transform(sequence(1, length({c}) - 19), i -> substring({c}, i, 20))")
-    key = q.select("item_id", "q", F.substring("q", 1, 20).alias("g"))
-    hit = x.where("length(line) >= 20").withColumn("g", F.explode(F.array_distinct(grams("line")))).join(F.broadcast(key), "g").where("contains(line, q)")
-    return hit.groupBy("item_id", "doc_id").agg(F.min("n").alias("line"))
+    """Where each document holds a sentence of an item, within a line or across two."""
+    s = table(spark, d, "benchmark").select("item_id", F.posexplode(F.split("text", r"\. ", -1)).alias("i", "s"))
+    s = s.select(F.concat("item_id", F.lit(":"), F.col("i") + 1).alias("quote"), "s").where(F.length(F.trim(F.regexp_replace("s", r"\s+", " "))) >= 20)
+    hit = quote_lines(docs(spark, d), "doc_id", "text", s, "quote", "s")
+    part = F.split("quote", ":")
+    return hit.select(part[0].cast("long").alias("item_id"), part[1].cast("int").alias("sentence"), "doc_id", "line", "lines")
 
 
 @query()

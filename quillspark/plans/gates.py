@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from quillspark.functions import similarity
 from quillspark.operators import gates as g
 from quillspark.operators import segments
-from quillspark.operators.retrieval import cosine
 from quillspark.session import spread, table
 
 QUERIES, ORACLES = {}, {}
@@ -33,9 +32,8 @@ def anchors_report(spark, d):
 
 @query(r"""SELECT flag, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN len(regexp_extract_all(text, '(?m)^\s*```')) % 2 = 1 THEN 'open_fence' END, CASE WHEN NOT regexp_matches(text, '(?m)^#{1,6}\s') THEN 'no_heading' END,
   CASE WHEN trim(regexp_replace(text, '^---\r?\n(?s:.*?)\r?\n---\r?\n?', '')) = '' THEN 'front_matter_only' END, CASE WHEN len(list_distinct(list_transform(regexp_extract_all(text, '(?m)^\|.*\|[ \t]*$'), lambda r: length(regexp_replace(replace(r, '\|', ''), '[^|]', '', 'g'))))) > 1 THEN 'ragged_table' END,
-  CASE WHEN contains(text, chr(65533)) THEN 'replacement_chars' END], lambda z: z IS NOT NULL)) AS flag FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(13))) GROUP BY 1""")
+  CASE WHEN contains(text, chr(65533)) THEN 'replacement_chars' END], lambda z: z IS NOT NULL)) AS flag FROM (SELECT replace(text, chr(13) || chr(10), chr(10)) AS text FROM documents WHERE text IS NOT NULL)) GROUP BY 1""")
 def structural_gates(spark, d):
-    """Flags of all texts (the SQL has those with line feeds only)."""
     t = table(spark, d, "documents").select("doc_id", "text")
     return g.structural_gates(t, "doc_id", "text").select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
 
@@ -66,9 +64,8 @@ def trigram_overlap(spark, d):
 def finding_dedup(spark, d):
     """Candidates (every fiftieth vector) that no other vector is as close to as the threshold."""
     e = spread(table(spark, d, "embeddings").select("vec_id", "embedding"))
-    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("id"), F.col("embedding").alias("e"))
-    best = e.crossJoin(F.broadcast(q)).where("vec_id <> id").groupBy("id").agg(F.max(cosine(F.col("embedding"), F.col("e"))).alias("best"))
-    return best.select("id", F.round("best", 6).alias("best"), F.when(F.col("best") < 0.5, "new").otherwise("known").alias("verdict"))
+    best = g.nearest_known(e, e.where("vec_id % 50 = 0"), "vec_id", "embedding", 0.5)
+    return best.select(F.col("vec_id").alias("id"), F.round("best", 6).alias("best"), "verdict")
 
 
 @query("""SELECT status, count(*) AS n, count(*) FILTER (error <> '') AS failed, count(*) FILTER (coalesce(markdown_path, '') <> '') AS ready FROM papers GROUP BY status""")

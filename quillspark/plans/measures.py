@@ -27,19 +27,19 @@ _RECALL = f"""r AS (SELECT item_id, t AS token, count(*) AS n FROM (SELECT item_
   p AS (SELECT item_id, doc_id, sum(least(n, m))::BIGINT AS matched FROM r JOIN h USING (token) GROUP BY ALL)"""
 
 
-def _recall(spark, d):
-    return m.multiset_recall(table(spark, d, "benchmark"), "item_id", "text", spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
+def _recall(spark, d, **how):
+    return m.multiset_recall(table(spark, d, "benchmark"), "item_id", "text", spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", **how)
 
 
-@query(f"WITH {_RECALL} SELECT doc_id, item_id, matched, matched / size AS recall FROM p JOIN z USING (item_id)")
+@query(f"WITH {_RECALL} SELECT doc_id, item_id, matched, matched / size AS recall FROM p JOIN z USING (item_id) WHERE matched / size >= 0.8")
 def recall_doc_benchmark(spark, d):
-    return _recall(spark, d)
+    """Documents that hold at least four fifths of an item's words."""
+    return _recall(spark, d, least=0.8)
 
 
 @query(f"WITH {_RECALL}, q AS (SELECT item_id, doc_id, matched / size AS recall FROM p JOIN z USING (item_id)) SELECT item_id, doc_id, recall FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY recall DESC, doc_id) AS k FROM q) WHERE k = 1")
 def containment_best_match(spark, d):
-    best = _recall(spark, d).groupBy("item_id").agg(F.max_by(F.struct("doc_id", "recall"), F.struct("recall", -F.col("doc_id"))).alias("b"))
-    return best.select("item_id", "b.doc_id", "b.recall")
+    return _recall(spark, d, best=True).select("item_id", "doc_id", "recall")
 
 
 @query(f"""WITH s AS (SELECT id, t, count(*) AS n FROM (SELECT id, unnest({_W.format("raw_latex")}) AS t FROM standard_sections) GROUP BY ALL), c AS (SELECT id, t, count(*) AS m FROM (SELECT id, unnest({_W.format("cleaned_text")}) AS t FROM standard_sections) GROUP BY ALL),

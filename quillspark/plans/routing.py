@@ -41,25 +41,26 @@ def quadrant_scores(spark, d):
     return r.arbitrated(r.quadrant_scores(checkpointed(r.tagged_units(r.units(docs(spark, d))))))
 
 
-def _case(rows: list[tuple[str, str]], col: str, default: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({col}, '{p.replace(chr(39), chr(39) * 2)}') THEN '{k}'" for k, p in rows) + f" ELSE '{default}' END"
+# the SQL engine has no lookahead: what must not follow is taken out of the heading before the rest is looked for
+_AFTER = r"(?!\s+of\s+this\s+document)"
+_HEADS = [(k, "(?i)" + p.replace(_AFTER, ""), _AFTER in p) for k, p in r.HEADINGS]
+_CASES = " ".join(f"WHEN regexp_matches({'e' if cut else 'h'}, '{p}') THEN '{k}'" for k, p, cut in _HEADS)
 
 
-_HEADS = [(k, "(?i)" + p.replace(r"(?!\s+of\s+this\s+document)", "")) for k, p in r.HEADINGS]
-
-
-@query(f"""SELECT section, count(*) AS n FROM (SELECT {_case(_HEADS, "h", "PREAMBLE")} AS section FROM (SELECT regexp_replace(line, '^#+\\s*', '') AS h FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_matches(line, '^#{{1,6}}\\s'))) GROUP BY 1""")
+@query(f"""SELECT section, count(*) AS n FROM (SELECT CASE {_CASES} ELSE 'PREAMBLE' END AS section FROM (SELECT h, regexp_replace(h, '(?i)\\bdesign\\s+of\\s+this\\s+document', '', 'g') AS e FROM (SELECT regexp_replace(line, '^#+\\s*', '') AS h FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_matches(line, '^#{{1,6}}\\s')))) GROUP BY 1""")
 def section_types(spark, d):
     h = table(spark, d, "documents").where("text is not null").select(F.explode(F.split("text", "\n", -1)).alias("line")).where(F.col("line").rlike(r"^#{1,6}\s"))
     return h.groupBy(r.section_type(F.regexp_replace("line", r"^#+\s*", "")).alias("section")).agg(F.count("*").alias("n"))
 
 
+# word characters and blanks are ASCII's in the SQL engine, so those beyond it are replaced by ASCII ones there
+_PLAIN = "regexp_replace(regexp_replace({0}, '[\\x{{aa}}\\x{{b5}}\\x{{ba}}\\x{{c0}}-\\x{{d6}}\\x{{d8}}-\\x{{f6}}\\x{{f8}}-\\x{{2c1}}\\x{{300}}-\\x{{1fff}}\\x{{fb00}}-\\x{{fb06}}]', '_', 'g'), '[\\x{{85}}\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]', ' ', 'g')"
 _FLAGS = ", ".join("CASE WHEN regexp_matches(line, '" + ("(?i)" if fold else "") + p.replace("'", "''") + f"') THEN '{k}' END" for k, (fold, p) in r.CATALOGUE.items())
 
 
-@query(f"""SELECT hit, count(*) AS n FROM (SELECT unnest(list_filter([{_FLAGS}], lambda z: z IS NOT NULL)) AS hit FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\\x00-\\x7f]') AND NOT contains(text, chr(13)))) GROUP BY 1""")
+@query(f"""SELECT hit, count(*) AS n FROM (SELECT unnest(list_filter([{_FLAGS}], lambda z: z IS NOT NULL)) AS hit FROM (SELECT {_PLAIN.format("unnest(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)))")} AS line FROM documents WHERE text IS NOT NULL)) GROUP BY 1""")
 def hypothesis_hits(spark, d):
-    """Catalogue hits by line of all texts (the SQL has the ASCII texts without carriage returns, where both engines read the patterns alike)."""
+    """Catalogue hits by line of all texts."""
     return docs(spark, d).where("text is not null").select(F.explode(F.split("text", "\r?\n", -1)).alias("line")).select(F.explode(r.hits(F.col("line"))).alias("hit")).groupBy("hit").agg(F.count("*").alias("n"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,6 +138,16 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     return (of_hot.join(few, on, how) if is_small else salted_join(of_hot, few, on, how)).unionByName(big.join(keys, on, "left_anti").join(small, on, how))
 
 
+def against(df: DataFrame, stated: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """All rows of `df` with all of a stated set, in blocks of the set that stay below the broadcast limit."""
+    blocks = max(1, -(-measured_bytes(stated) // limit))
+    if blocks == 1:
+        return df.crossJoin(F.broadcast(stated))
+    cols = [F.col(f"`{c}`") for c in stated.columns]
+    stated = checkpointed(stated.withColumn("_block", F.pmod(F.xxhash64(*cols), F.lit(blocks))))
+    return reduce(DataFrame.unionByName, [df.crossJoin(F.broadcast(stated.where(F.col("_block") == i).drop("_block"))) for i in range(blocks)])
+
+
 def read_size(path: str) -> int:
     """Bytes under a local path; 0 if it isn't local."""
     if os.path.isfile(path):

@@ -99,8 +99,17 @@ def test_guard(spark):
 def test_recall_both_ways(spark):
     refs = spark.createDataFrame([(1, "a b b"), (2, "C d"), (3, ""), (4, None)], "r int, t string")
     hyps = spark.createDataFrame([(10, "b b b a"), (11, "c"), (12, "zz"), (13, None)], "h long, x string")
-    a, b = (rows(m.multiset_recall(refs, "r", "t", hyps, "h", "x", most), "r", "h") for most in (100, 0))
+    a, b = (rows(m.multiset_recall(refs, "r", "t", hyps, "h", "x", limit=most), "r", "h") for most in (1 << 20, 0))
     assert a == b == [(1, 10, 3, 1.0), (2, 11, 1, 0.5)]
+    a, b = (rows(m.multiset_recall(refs, "r", "t", hyps.union(hyps.selectExpr("h + 100", "x || ' d'")), "h", "x", best=True, limit=most), "r", "h") for most in (1 << 20, 0))
+    assert a == b == [(1, 10, 3, 1.0), (2, 111, 2, 1.0)]
+    assert rows(m.multiset_recall(refs, "r", "t", hyps, "h", "x", least=0.6), "r", "h") == [(1, 10, 3, 1.0)]
+
+
+def test_pairs_of_a_row(spark):
+    df = spark.createDataFrame([(1, "a b b", "b b c"), (2, None, "x"), (3, "", None), (4, "é É", "é")], "k int, a string, b string")
+    assert rows(m.pairwise_coverage(df, "k", "a", "b"), "k") == [(1, 2 / 3, 1 / 3), (2, 1.0, 1.0), (3, 1.0, 0.0), (4, 0.5, 0.0)]
+    assert rows(m.char_conservation(df, "k", "a", "b"), "k") == [(1, 1, 1), (2, 0, 1), (3, 0, 0), (4, 1, 0)]
 
 
 def test_calibration(spark):

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quillspark.operators import learned
 from quillspark.operators import retrieval as v
 from quillspark.operators import routing as r
@@ -32,6 +34,21 @@ def test_units_and_sections(spark):
     assert r.route(docs.limit(0)).count() == 0
 
 
+def test_units_of_wording():
+    kinds = lambda t: [(k, u) for _, k, u in r.text_units(t)]
+    assert kinds("note-list: item-list other-item\nnote: See the Standard here.\n\nadd: more words") == [("rule", "note-list: item-list other-item"), ("prose", "note: See the Standard here."), ("prose", "add: more words")]
+    assert kinds("Effects: Equivalent to x.\n*Returns*: y. More of it.") == [("prose", "Effects: Equivalent to x."), ("prose", "*Returns*: y."), ("prose", "More of it.")]
+    assert kinds("In the table, add: Effects: none") == [("prose", "In the table, add:"), ("prose", "Effects: none")]
+    assert kinds("~~~\na\n```\n~~~\n```\nb\n```") == [("fence", "~~~\na\n```\n~~~"), ("fence", "```\nb\n```")]
+    assert kinds("") == [] and kinds("```\nopen") == [("fence", "```\nopen")]
+
+
+def test_lines_of_wording(spark):
+    df = spark.createDataFrame([("Effects: x",), ("**Error conditions:** y",), ("item-list: item",), ("add: item",), ("note: See it.",), (None,)], "s string")
+    got = df.select(r.is_label_line(F.col("s")).alias("label"), r.is_rule_line(F.col("s")).alias("rule")).collect()
+    assert [x.label for x in got] == [True, True, False, False, False, None] and [x.rule for x in got] == [False, False, True, False, False, None]
+
+
 def test_emission_policy(spark):
     s = spark.createDataFrame([(1, 0.5, 0.45, 0.0, 0.0), (2, 0.04, 0.0, 0.0, 0.0), (3, 0.0, 0.0, 0.4, 0.1), (4, 0.31, 0.2, 0.0, 0.0)], "doc_id long, LEWG double, LWG double, EWG double, CWG double")
     n = spark.createDataFrame([(1, 50, 9, 9, 0, 0), (2, 50, 9, 9, 9, 9), (3, 50, 0, 0, 0, 0), (4, 50, 0, 5, 0, 0)], "doc_id long, units long, n_LEWG long, n_LWG long, n_EWG long, n_CWG long")
