@@ -94,8 +94,8 @@ def tokens(field: PackedField, value: Column) -> Column:
     return F.regexp_extract_all(value, F.lit(token_pattern(field)), F.lit(0))
 
 
-def skeleton(field: PackedField, value: Column) -> Column:
-    return F.array_join(F.transform(tokens(field, value), lambda t: token_class(field, t)), "")
+def skeleton(field: PackedField, toks: Column) -> Column:
+    return F.array_join(F.transform(toks, lambda t: token_class(field, t)), "")
 
 
 # ---------------------------------------------------------------- rules
@@ -251,7 +251,8 @@ def split_packed(df: DataFrame, key: str, fields: list[PackedField], broadcast_l
     parts = [
         df.select(F.col(key).alias("_key"), F.lit(f.name).alias("field"), F.col(f"`{f.name}`").cast("string").alias("_text"))
         .where(F.col("_text").rlike(r"\S"))
-        .withColumn("_skel", skeleton(f, F.col("_text")))
+        .withColumn("_tok", tokens(f, F.col("_text")))
+        .withColumn("_skel", F.coalesce(skeleton(f, F.col("_tok")), F.lit("")))  # known not to be null, else the join would look twice
         for f in fields
     ]
     rows = parts[0]
@@ -268,17 +269,13 @@ def split_packed(df: DataFrame, key: str, fields: list[PackedField], broadcast_l
     rules = checkpointed(skels.mapInPandas(rules_of, "field string, _skel string, _rule string"))
     side, small = broadcast_if_small(rules, broadcast_limit)
     joined = rows.join(side, ["field", "_skel"]) if small else salted_join(rows, rules, ["field", "_skel"], "inner")
-    out = [_apply(joined.where(F.col("field") == f.name), f) for f in fields]
-    res = out[0]
-    for p in out[1:]:
-        res = res.unionByName(p)
-    return res.select(F.col("_key").alias(key), "field", "pos", "value")
+    return _apply(joined).select(F.col("_key").alias(key), "field", "pos", "value")
 
 
-def _apply(df: DataFrame, field: PackedField) -> DataFrame:
+def _apply(df: DataFrame) -> DataFrame:
     mark = "\u0000"
     acted = F.zip_with(
-        tokens(field, F.col("_text")),
+        F.col("_tok"),
         F.split(F.col("_rule"), ""),
         lambda t, a: F.when(a == "x", F.lit(mark)).when(a == "d", F.lit("")).otherwise(t),
     )
