@@ -98,6 +98,16 @@ def periodic(df: DataFrame, group: list[str], order: list, kind: str, periods: r
     return out.where(F.col("matches") >= F.col("period") * (records - 1))
 
 
+def periodic_runs(df: DataFrame, group: list[str], pos: str, kind: str, periods: range = range(2, 9), records: int = 3) -> DataFrame:
+    """(group, period, start, stop): stretches in which every row equals the one a period before, of at least `records` records; pos counts the group's rows without gaps."""
+    w = Window.partitionBy(*group).orderBy(pos)
+    hits = F.array_compact(F.array(*[F.when(F.col(kind) == F.lag(kind, k).over(w), F.lit(k)) for k in periods]))
+    x = df.withColumn("_p", hits).select(*group, pos, F.explode("_p").alias("period"))
+    x = x.withColumn("_i", F.col(pos) - F.row_number().over(Window.partitionBy(*group, "period").orderBy(pos)))
+    runs = x.groupBy(*group, "period", "_i").agg((F.min(pos) - F.col("period")).alias("start"), F.max(pos).alias("stop"), F.count("*").alias("_n"))
+    return runs.where(F.col("_n") >= F.col("period") * (records - 1)).drop("_i", "_n")
+
+
 def greedy_pack(df: DataFrame, group: list[str], order: list[str], size: str, budget: int) -> DataFrame:
     """Adjacent rows put together while their sizes stay within the budget: a pack number per row, from 0.
 

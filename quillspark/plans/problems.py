@@ -84,6 +84,16 @@ o AS (
 
 ORACLES = {
     "p4_found": _P4_CLOSURE + "SELECT draft_tag, a AS ancestor_label, d AS descendant_label, min(k)::INT AS distance FROM r GROUP BY 1, 2, 3",
+    "p4_nodes": _P4_CLOSURE
+    + """, m AS (SELECT DISTINCT draft_tag, c FROM s WHERE c <> '' AND draft_tag IS NOT NULL), f AS (SELECT draft_tag, c, min(p) AS p FROM e GROUP BY ALL),
+u(draft_tag, c, top, k, path) AS (
+  SELECT draft_tag, c, c, 0, c FROM m
+  UNION ALL
+  SELECT u.draft_tag, u.c, f.p, u.k + 1, f.p || '/' || u.path FROM u JOIN f ON f.draft_tag = u.draft_tag AND f.c = u.top JOIN n ON n.draft_tag = u.draft_tag WHERE u.k < n.n),
+t AS (SELECT u.* FROM u WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.draft_tag = u.draft_tag AND f.c = u.top)),
+b AS (SELECT draft_tag, a, count(DISTINCT d) FILTER (d <> a) AS below, bool_or(a = d) AS circle FROM r GROUP BY 1, 2)
+SELECT m.draft_tag, m.c AS label, t.top AS root, t.k::BIGINT AS depth, t.path, coalesce(b.below, 0) AS n_descendants, coalesce(b.circle, false) AS on_circle
+FROM m LEFT JOIN t ON t.draft_tag = m.draft_tag AND t.c = m.c LEFT JOIN b ON b.draft_tag = m.draft_tag AND b.a = m.c""",
     "p6_found": _P6 + "SELECT source_table, field, row_id, period, state FROM o",
     "p6_report": _P6 + "SELECT source_table, field, period, state, count(*) AS n FROM o GROUP BY 1, 2, 3, 4",
 }

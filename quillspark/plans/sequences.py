@@ -49,10 +49,11 @@ def sustained_cofire(spark, d):
     return s.neighbours_cofire(e, ["user_id"], ["ts", "event_id"], "event_type", "a", "b", "hit").where("hit").select("user_id", "event_id")
 
 
-@query(f"""SELECT doc_id, pos, level, previous FROM (SELECT doc_id, pos, level, lag(level) OVER (PARTITION BY doc_id ORDER BY pos) AS previous FROM (SELECT doc_id, pos, length(regexp_extract(line, '^(#+) ', 1)) AS level FROM {_LINES} WHERE regexp_matches(line, '^#+ '))) WHERE level > previous + 1""")
+@query("""SELECT draft_tag, id, level, previous FROM (SELECT draft_tag, id, depth + 1 AS level, lag(depth + 1) OVER (PARTITION BY draft_tag ORDER BY id) AS previous FROM standard_sections WHERE depth IS NOT NULL) WHERE level > previous + 1""")
 def heading_jumps(spark, d):
-    h = lines(spark, d).where(F.col("line").rlike("^#+ ")).select("doc_id", "pos", F.length(F.regexp_extract("line", "^(#+) ", 1)).alias("level"))
-    return s.level_jumps(h, ["doc_id"], ["pos"], "level")
+    """Sections that lie more than a level below the one before them."""
+    h = table(spark, d, "standard_sections").where("depth is not null").select("draft_tag", "id", (F.col("depth") + 1).alias("level"))
+    return s.level_jumps(h, ["draft_tag"], ["id"], "level")
 
 
 @query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS k FROM events) WHERE k <= 3")
@@ -135,16 +136,21 @@ def shingle5_overlap(spark, d):
     return g.select("id", F.size("x").alias("n_raw"), F.size("y").alias("n_clean"), F.size(F.array_intersect("x", "y")).alias("n_both"))
 
 
-@query(f"""WITH w AS (SELECT id, {_WORDS.format("raw_latex")} AS a, {_WORDS.format("cleaned_text")} AS b FROM standard_sections WHERE raw_latex IS NOT NULL AND cleaned_text IS NOT NULL),
-  k AS (SELECT id, a, b, unnest(range(0, greatest(len(a) - 25, 1), 25)) AS st FROM w WHERE len(a) > 0), c AS (SELECT id, st, list_distinct(a[st + 1:st + 50]) AS x, b FROM k)
-  SELECT id, st AS start, round(len(list_intersect(x, b)) / len(x), 6) AS coverage FROM c WHERE len(list_intersect(x, b)) / len(x) < 0.6""")
+_HALF = "substring(text, 1, (length(text) // 2)::INT)"
+
+
+@query(f"""WITH w AS (SELECT doc_id, {_WORDS.format("text")} AS a, {_WORDS.format(_HALF)} AS b FROM documents WHERE text IS NOT NULL),
+  k AS (SELECT doc_id, a, b, unnest(range(0, greatest(len(a) - 100, 1), 100)) AS st FROM w WHERE len(a) > 0), c AS (SELECT doc_id, st, list_distinct(a[st + 1:st + 200]) AS x, b FROM k)
+  SELECT doc_id, st AS start, round(len(list_intersect(x, b)) / len(x), 6) AS coverage FROM c WHERE len(list_intersect(x, b)) / len(x) < 0.6""")
 def local_coverage_windows(spark, d):
+    """Windows of 200 words, half overlapping, of each text that the first half of it covers by less than 0.6."""
     w = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    df = table(spark, d, "standard_sections").where("raw_latex is not null and cleaned_text is not null").select("id", w("raw_latex").alias("a"), w("cleaned_text").alias("b"))
-    k = df.where("size(a) > 0").withColumn("start", F.explode(F.expr("sequence(0, greatest(size(a) - 25, 1) - 1, 25)")))
-    x = F.array_distinct(F.expr("slice(a, start + 1, 50)"))
+    t = spread(table(spark, d, "documents").where("text is not null").select("doc_id", "text"))
+    df = t.select("doc_id", w("text").alias("a"), w(F.expr("substring(text, 1, int(length(text) div 2))")).alias("b"))
+    k = df.where("size(a) > 0").withColumn("start", F.explode(F.expr("sequence(0, greatest(size(a) - 100, 1) - 1, 100)")))
+    x = F.array_distinct(F.expr("slice(a, start + 1, 200)"))
     cov = F.size(F.array_intersect(x, "b")) / F.size(x)
-    return k.select("id", F.col("start").cast("long").alias("start"), F.round(cov, 6).alias("coverage"), cov.alias("c")).where("c < 0.6").drop("c")
+    return k.select("doc_id", F.col("start").cast("long").alias("start"), F.round(cov, 6).alias("coverage"), cov.alias("c")).where("c < 0.6").drop("c")
 
 
 @query("SELECT id, row_number() OVER (ORDER BY draft_tag, chapter_file, id) AS gid FROM standard_sections")

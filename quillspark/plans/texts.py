@@ -138,7 +138,14 @@ def paragraph_force(spark, d):
     return s.where(F.trim(F.col("p"), F.lit("\n ")) != "").select("id", F.col("pos").cast("long").alias("pos"), x.normative_force(F.col("p")).alias("force"))
 
 
-@query()
+def _macros(c: str) -> str:
+    for _ in range(2):
+        for pattern, put in x.MACROS:
+            c = f"regexp_replace({c}, '{pattern.replace(chr(39), chr(39) * 2)}', '{put.replace('$1', chr(92) + '1').replace(chr(39), chr(39) * 2)}', 'g')"
+    return c
+
+
+@query(f"SELECT id, {_macros('raw_latex')} AS text FROM standard_sections WHERE raw_latex IS NOT NULL")
 def macro_expansion(spark, d):
     return table(spark, d, "standard_sections").where("raw_latex is not null").select("id", x.expand_macros(F.col("raw_latex")).alias("text"))
 
@@ -206,12 +213,13 @@ def latex_guards(spark, d):
     return table(spark, d, "standard_sections").where("raw_latex is not null").select("id", x.balanced_latex(F.col("raw_latex")).cast("string").alias("balanced"))
 
 
-@query()
+@query(r"""SELECT scrape_id, array_to_string(list_transform(regexp_extract_all(title, '`[^`\n]*`|[^`]+|`'), lambda p: CASE WHEN regexp_matches(p, '^`.*`$') THEN p ELSE regexp_replace(p, '([\\*_\[\]<>])', '\\\1', 'g') END), '') AS title FROM papers WHERE title IS NOT NULL""")
 def markdown_escapes(spark, d):
     return table(spark, d, "papers").where("title is not null").select("scrape_id", x.escaped_markdown(F.col("title")).alias("title"))
 
 
-@query()
+@query(r"""WITH p AS (SELECT DISTINCT title, trim(regexp_replace(title, '[^\p{L}\p{N}_:]+', ' ', 'g')) AS plain FROM papers WHERE title IS NOT NULL), b AS (SELECT *, regexp_replace(plain, '\bstd::', '', 'g') AS bare FROM p), v AS (SELECT title, [trim(title), plain, bare, regexp_extract(bare, '([0-9A-Za-z_]+)[^0-9A-Za-z_]*$', 1)] AS l FROM b),
+  f AS (SELECT title, list_filter(l, lambda z, i: z <> '' AND NOT list_contains(l[1:i - 1], z)) AS l FROM v) SELECT title, generate_subscripts(l, 1) - 1 AS place, unnest(l) AS variant FROM f""")
 def search_variants(spark, d):
     return table(spark, d, "papers").where("title is not null").select("title").distinct().select("title", F.posexplode(x.search_variants(F.col("title"))).alias("place", "variant"))
 
