@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import has_phrase
 from quillspark.operators.segments import fenced_lines
 from quillspark.operators.sequence import neighbours_cofire
-from quillspark.session import ship
+from quillspark.session import checkpointed, ship
 
 GROUPS = ("LEWG", "LWG", "EWG", "CWG")
 # Domain and mode of each group, emission thresholds, margins.
@@ -103,9 +103,33 @@ def section_type(heading: Column) -> Column:
     return out
 
 
-def hits(text: Column) -> Column:
-    """Ids of the catalogue's patterns that a text meets, in the catalogue's order; letters, digits, blanks and case are Unicode's, only a line feed ends a line."""
-    return F.array_compact(F.array(*[F.when(text.rlike(("(?iUd)" if fold else "(?Ud)") + p), k) for k, (fold, p) in CATALOGUE.items()]))
+#: Of each pattern, parts (in small letters) of which every text that meets it has one; they are looked for before the pattern is tried.
+PARTS = {
+    "D1": "<", "D2": "[", "D3": "_ std::", "D4": "namespace library", "D5": "lwg lewg library", "D6": "iterator allocator ranges container named", "D7": "customization user", "D8": "[",
+    "D9": "concept module coroutine structured constexpr variable range attribute lambda", "D10": "-", "D11": "overload argument- lookup candidate adl", "D12": "template substitution sfinae",
+    "D13": "lifetime storage temporary destruction", "D14": "ewg cwg evolution core", "D15": "implicit decltype deduction", "M1": "propos introduce", "M2": "changed modified updated revised amended modify accordingly",
+    "M3": "deprecated removing", "M4": "consistency several because", "M5": "suffix convention", "M6": "superior compared alternative", "M7": "simple verbose easier unintuitive", "M8": "function returns parameter",
+    "M9": "extension breaking backward", "M10": "touch affect limited scope", "M11": "compiled implemented", "M12": "practice languages widely", "M13": "zero compile runtime",
+    "W1": "shall effects: returns: mandates: preconditions:", "W2": "following modify strike insert add:", "W3": "[", "W4": "table", "W5": "__cpp __has feature-test", "S1": "audience:", "S2": "r",
+    "S3": "affect migration", "S4": "abi binary layout", "S5": "consent objection poll sf/",
+}
+
+
+def hits(text: Column, low: Column | None = None) -> Column:
+    """Ids of the catalogue's patterns that a text meets, in the catalogue's order; letters, digits, blanks and case are Unicode's, only a line feed ends a line.
+
+    low: the text in small letters, if there is a column of it.
+    """
+    low = F.lower(text) if low is None else low
+    odd = low.contains("ſ")  # a small letter that is an s where case is ignored
+
+    def met(key: str, fold: bool, pattern: str) -> Column:
+        may = odd
+        for part in PARTS[key].split():
+            may = may | low.contains(part)
+        return may & text.rlike(("(?iUd)" if fold else "(?Ud)") + pattern)
+
+    return F.array_compact(F.array(*[F.when(met(k, fold, p), k) for k, (fold, p) in CATALOGUE.items()]))
 
 
 # Labels of normative elements, and words before a colon that are no rule of a grammar.
@@ -201,7 +225,7 @@ def tagged_units(u: DataFrame, key: str = "doc_id") -> DataFrame:
     w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     head = F.when(F.col("kind") == "heading", section_type(F.regexp_replace("unit", r"^#+\s*", "")))
     x = u.withColumn("section", F.coalesce(F.last(head, ignorenulls=True).over(w), F.lit("PREAMBLE"))).where((F.col("kind") != "heading") & (F.length("unit") >= LEAST_CHARS))
-    x = x.withColumn("hits", hits(F.col("unit")))
+    x = x.withColumn("_low", F.lower("unit")).withColumn("hits", hits(F.col("unit"), F.col("_low"))).drop("_low")
     flag = lambda ids: F.arrays_overlap("hits", F.array(*[F.lit(i) for i in ids]))
     return x.withColumns({axis: flag(ids) for axis, ids in AXES.items()})
 
@@ -258,7 +282,7 @@ def emitted(scores: DataFrame, counts: DataFrame, key: str = "doc_id") -> DataFr
 
 def route(docs: DataFrame, audience: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, group, score, role) of every document that is routed at all."""
-    tagged = tagged_units(units(docs, key, text), key)
+    tagged = checkpointed(tagged_units(units(docs, key, text), key).select(key, "pos", "section", *AXES))  # narrow rows, read twice
     scores = arbitrated(quadrant_scores(tagged, key))
     if audience:
         scores = audience_bonus(scores.join(docs.select(key, audience), key), audience).drop(audience)

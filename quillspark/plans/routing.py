@@ -61,7 +61,7 @@ _FLAGS = ", ".join("CASE WHEN regexp_matches(line, '" + ("(?i)" if fold else "")
 @query(f"""SELECT hit, count(*) AS n FROM (SELECT unnest(list_filter([{_FLAGS}], lambda z: z IS NOT NULL)) AS hit FROM (SELECT {_PLAIN.format("unnest(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)))")} AS line FROM documents WHERE text IS NOT NULL)) GROUP BY 1""")
 def hypothesis_hits(spark, d):
     """Catalogue hits by line of all texts."""
-    return docs(spark, d).where("text is not null").select(F.explode(F.split("text", "\r?\n", -1)).alias("line")).select(F.explode(r.hits(F.col("line"))).alias("hit")).groupBy("hit").agg(F.count("*").alias("n"))
+    return docs(spark, d).where("text is not null").select(F.explode(F.split("text", "\r?\n", -1)).alias("line")).withColumn("low", F.lower("line")).select(F.explode(r.hits(F.col("line"), F.col("low"))).alias("hit")).groupBy("hit").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)we propose|this paper proposes|poll') THEN 'analyze' WHEN length(text) > 300000 AND w > 0.5 THEN 'skip_wording' WHEN length(text) > 300000 THEN 'skip_long' ELSE 'analyze' END AS verdict FROM (SELECT doc_id, text, (len(string_split(lower(text), 'shall')) - 1) / greatest(length(text), 1) AS w FROM documents WHERE text IS NOT NULL)""")

@@ -75,3 +75,14 @@ def test_search(spark):
     vec = spark.createDataFrame([(0, [1.0, 0.0], "a"), (1, [0.9, 0.1], "a"), (2, [0.8, 0.2], "a"), (3, [0.0, 1.0], "b"), (4, [0.0, 0.0], "b"), (5, [0.7, 0.7], "b")], "v long, e array<double>, g string")
     q = vec.where("v = 0").select(vec.v.alias("q"), "e")
     assert [(x.v, x.place) for x in v.vector_topk(q, "q", vec, "v", "e", 3, least=0.3, group="g", per_group=2).orderBy("place").collect()] == [(0, 1), (1, 2), (5, 3)]
+
+
+def test_parts_pass_over_nothing(spark):
+    """Patterns behind their parts and patterns alone find the same, in any case and with odd letters."""
+    texts = ["a <b> x", "9.1 [a.b] modify it", "STD::x is_same foo_v", "the Library shall be Updated", "namespace  STD", "Library Evolution", "Allocator model", "users may specialize", "[expr.prim]", "Variable Templates", "a-b: c", "lambda-expression",
+             "ADL and name  lookup", "SFINAE", "storage duration", "Core Working Group", "type deduction", "this paper introduces", "update accordingly", "propose removing", "for several reasons", "_v suffix", "alternative approach", "less verbose", "returns a",
+             "no breaking change", "doesn't affect", "implemented in", "widely used", "compile-time cost", "Effects: x", "so add:", "Table 5", "__has_cpp_attribute", "audience: x", "P1234R5", "migration path", "ABI break", "SF/F/N/A/SA", "ſtd::x and ſhall", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.array_compact(F.array(*[F.when(F.col("t").rlike(("(?iUd)" if fold else "(?Ud)") + p), k) for k, (fold, p) in r.CATALOGUE.items()]))
+    got = df.select("t", r.hits(F.col("t")).alias("a"), plain.alias("b")).collect()
+    assert all(x.a == x.b for x in got) and {k for x in got for k in x.a} == set(r.CATALOGUE)
