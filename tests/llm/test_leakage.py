@@ -109,19 +109,21 @@ def test_no_window_within_reach_is_passed_over(edits):
     assert len(k.promising(two.ravel(), start, 10, edits, pairs)) == 500
 
 
-def test_planted_passages_with_edits(spark):
-    """Passages of real words with a substitution, an insertion or a deletion every twelve words: at least 0.9 of them are found."""
+@pytest.mark.parametrize("step", [12, 8])
+def test_planted_passages_with_edits(spark, step):
+    """Passages of real words with a substitution, an insertion or a deletion every few words: at least 0.9 of them are found, with every eighth word changed by near windows alone."""
     r = random.Random(11)
     vocab = [f"{a}{b}{c}" for a in ("ta", "mo", "le", "ri") for b in ("ver", "din", "sol", "par") for c in ("ed", "ing", "s", "ly", "")]
     items = [(n, " ".join(r.choice(vocab) for _ in range(48)), "") for n in range(150)]
     docs, planted = [], set()
     for n in range(150):
         words = items[n][1].split()
-        for at in range(36, 0, -12):
+        for at in range(48 - step, 0, -step):
             kind = r.randrange(3)
             words[at : at + (kind != 1)] = [] if kind == 0 else [r.choice(vocab) + "x"]
         docs.append((n, " ".join([r.choice(vocab) for _ in range(30)] + words + [r.choice(vocab) for _ in range(30)]), ""))
         planted.add((n, n))
     got = {(x.doc_id, x.item_id): x for x in k.find_leaks(spark.createDataFrame(docs, D), spark.createDataFrame(items, I), share=0.9, edits=1).collect()}
     assert len(planted & got.keys()) >= 0.9 * len(planted) and set(got) <= planted
-    assert all(x.matched_words <= x.near_words <= x.item_words for x in got.values()) and any(x.matched_words < x.near_words for x in got.values())
+    assert all(x.matched_words <= x.near_words <= x.item_words for x in got.values())
+    assert sum(x.matched_words for x in got.values()) == 0 if step == 8 else any(x.matched_words < x.near_words for x in got.values())
