@@ -30,12 +30,22 @@ def docs(spark, d):
     return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
-@query()
+_FENCED = r"""f AS (SELECT doc_id, k, line, regexp_matches(line, '^\s*(```+|~~~+)') AS mark FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS k FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+  o AS (SELECT *, mark OR sum(mark::INT) OVER (PARTITION BY doc_id ORDER BY k) % 2 = 1 AS fenced FROM f)"""
+_ESCAPED = r"replace(line, '\|', chr(1))"
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+_CELLS = rf"""{_FENCED}, c AS (SELECT doc_id, k, line, NOT fenced AND starts_with({_STRIP.format("line")}, '|') AND length(line) - length(replace(line, '|', '')) >= 2 AS cand, regexp_matches(line, '^\s*\|?(?:\s*:?-{{2,}}:?\s*\|?)+\s*$') AS rule FROM o),
+  i AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS island FROM c WHERE cand), w AS (SELECT doc_id, island, k, row_number() OVER (PARTITION BY doc_id, island ORDER BY k) - 1 AS r, string_split(regexp_replace({_STRIP.format(_ESCAPED)}, '^\|+|\|+$', '', 'g'), '|') AS l FROM i WHERE NOT rule),
+  t AS (SELECT doc_id, (dense_rank() OVER (PARTITION BY doc_id ORDER BY island) - 1)::INT AS tbl, r::INT AS r, l FROM w), g AS (SELECT doc_id, tbl, r, (generate_subscripts(l, 1) - 1)::INT AS c, replace({_STRIP.format("unnest(l)")}, chr(1), '|') AS cell FROM t)"""
+
+
+@query(f"WITH {_CELLS} SELECT doc_id, tbl, r, c, cell FROM g")
 def pipe_tables(spark, d):
     return g.table_cells(docs(spark, d))
 
 
-@query()
+@query(f"""WITH {_CELLS} SELECT g.doc_id, g.tbl, g.r, g.c, g.cell, u.cell AS up, d.cell AS down, l.cell AS left, r.cell AS right, h.cell AS heading FROM g LEFT JOIN g u ON u.doc_id = g.doc_id AND u.tbl = g.tbl AND u.r = g.r - 1 AND u.c = g.c LEFT JOIN g d ON d.doc_id = g.doc_id AND d.tbl = g.tbl AND d.r = g.r + 1 AND d.c = g.c
+  LEFT JOIN g l ON l.doc_id = g.doc_id AND l.tbl = g.tbl AND l.r = g.r AND l.c = g.c - 1 LEFT JOIN g r ON r.doc_id = g.doc_id AND r.tbl = g.tbl AND r.r = g.r AND r.c = g.c + 1 LEFT JOIN g h ON h.doc_id = g.doc_id AND h.tbl = g.tbl AND h.r = 0 AND h.c = g.c""".replace("AS left", 'AS "left"').replace("AS right", 'AS "right"'))
 def cell_neighbours(spark, d):
     return g.cell_neighbours(checkpointed(g.table_cells(docs(spark, d))))
 
@@ -66,7 +76,9 @@ def code_blocks(spark, d):
     return g.document_code(docs(spark, d)).where("language <> ''").groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(rf"""WITH {_FENCED}, e AS (SELECT *, NOT fenced AND regexp_matches(line, '^##\s+') AND regexp_matches(line, '^##\s') AS head, NOT fenced AND regexp_matches(line, '^-{{3,}}\s*$') AS stop FROM o), q AS (SELECT *, max(CASE WHEN head OR stop THEN k END) OVER (PARTITION BY doc_id ORDER BY k) AS last FROM e),
+  b AS (SELECT doc_id, last AS line, string_agg(line, chr(10) ORDER BY k) AS body FROM q WHERE NOT head AND NOT stop AND last IS NOT NULL GROUP BY doc_id, last)
+  SELECT e.doc_id, regexp_extract(e.line, '^##\s+(.*?)\s*#*\s*$', 1) AS title, e.k::INT AS line, coalesce(regexp_replace(b.body, '^\n+|\n+$', '', 'g'), '') AS body FROM e LEFT JOIN b ON b.doc_id = e.doc_id AND b.line = e.k WHERE e.head""")
 def h2_sections(spark, d):
     return g.document_sections(docs(spark, d))
 
