@@ -25,6 +25,7 @@ Defined results
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.graph import connected_components
-from quillspark.session import broadcast_if_small, checkpointed, ship
+from quillspark.session import broadcast_if_small, checkpointed, lookup_join, ship
 
 #: Records of a block that stay in one task; larger ones are split (without an effect on the result).
 BLOCK = 200
@@ -65,7 +66,13 @@ ORGANISATION = {
     "center": "ctr centre", "group": "grp", "international": "intl", "technologies": "tech", "company": "coy", "corporation": "corp", "research": "rsch res",
     "software": "sw", "standards": "stds std", "compiler": "comp", "toolchain": "", "data": "", "national": "natl", "school": "sch", "college": "coll", "consortium": "",
 }
-_FULL = {a: w for w, s in ORGANISATION.items() for a in s.split()}
+
+
+@functools.cache
+def _full(words: tuple[tuple[str, str], ...]) -> dict[str, str]:
+    return {a: w for w, s in words for a in s.split()}
+
+
 _LEGAL = re.compile(r"[,\s]+(?:inc|llc|l\.l\.c|ltd|limited|gmbh|ag|corp|co|plc|llp|lp|s\.a|b\.v|bv|kg|oy|ab|se)\.?\s*$", re.I)
 _SUFFIX = re.compile(r"[,\s]+(?:jr|sr|ii|iii|iv|ph\.?\s?d|m\.?d|msc|bsc|esq|mba)\.?\s*$", re.I)
 _TITLE = re.compile(r"^(?:dr|prof|professor|mr|mrs|ms|miss|sir|dame|herr|frau|ing|mag)\.?\s+", re.I)
@@ -151,14 +158,14 @@ COLUMNS = ("kind", "family", "given", "prefix", "middle", "nick", "ordered")
 _NONE = ("other", "", "", "", "", "", True)
 
 
-def read_name(value: str) -> tuple:
-    """(kind, family, given, prefix, middle, nick, ordered); ordered: the family is certain."""
+def read_name(value: str, words: dict[str, str] = ORGANISATION) -> tuple:
+    """(kind, family, given, prefix, middle, nick, ordered); ordered: the family is certain.  words: words of organisations and their abbreviations."""
     s = _ASIDE.sub(" ", repaired(value))
     legal = bool(_LEGAL.search(s))
     while _LEGAL.search(s) and len(s.split()) > 2:
         s = _LEGAL.sub("", s)
     s = re.sub(r"\s+", " ", s).strip(" ,;")
-    org = _organisation(s, legal)
+    org = _organisation(s, legal, words)
     if org:
         return ("org", org[0], org[1], "", "", "", True)
     s = _TITLE.sub("", s)
@@ -198,18 +205,19 @@ def _words(s: str) -> list[tuple[str, bool]]:
     return out
 
 
-def _organisation(s: str, legal: bool) -> tuple[str, str] | None:
+def _organisation(s: str, legal: bool, known_words: dict[str, str]) -> tuple[str, str] | None:
+    full = _full(tuple(known_words.items()))
     words = [re.sub(r"[^a-z0-9+&]", "", w) for w in folded(s).split()]
     words = ["and" if w in ("&", "+") else w for w in words if w]
     if words[:1] == ["the"]:
         words = words[1:]
     if len(words) < 2:
         return None
-    kinds = [_FULL.get(w, w) for w in words[1:]]
-    known = [w for w in kinds if w in ORGANISATION or (len(w) >= 5 and any(edits(w, o) == 1 for o in ORGANISATION))]
+    kinds = [full.get(w, w) for w in words[1:]]
+    known = [w for w in kinds if w in known_words or (len(w) >= 5 and any(edits(w, o) == 1 for o in known_words))]
     if not known and not legal:
         return None
-    fixed = [w if w in ORGANISATION or len(w) < 5 else next((o for o in ORGANISATION if edits(w, o) == 1), w) for w in kinds]
+    fixed = [w if w in known_words or len(w) < 5 else next((o for o in known_words if edits(w, o) == 1), w) for w in kinds]
     return words[0], " ".join(fixed)
 
 
@@ -276,13 +284,13 @@ def compared(rows: list[dict]) -> Iterator[tuple[str, str]]:
                 yield a["rid"], b["rid"]
 
 
-def variant_clusters(values: DataFrame, column: str = "value") -> DataFrame:
-    """(value, entity) of every distinct value; entity is the least record key of its cluster."""
+def variant_clusters(values: DataFrame, column: str = "value", words: dict[str, str] = ORGANISATION) -> DataFrame:
+    """(value, entity) of every distinct value; entity is the least record key of its cluster.  words: as in read_name."""
     ship(values.sparkSession)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [(v, *read_name(v)) for v in b["value"]]
+            got = [(v, *read_name(v, words)) for v in b["value"]]
             yield pd.DataFrame(got, columns=["value", *COLUMNS])
 
     text = "value string, kind string, family string, given string, prefix string, middle string, nick string, ordered boolean"
@@ -380,6 +388,12 @@ def _short_links(records: DataFrame, named: DataFrame) -> DataFrame:
     return to_cluster.unionByName(among)
 
 
+def variant_links(values: DataFrame, column: str = "value") -> DataFrame:
+    """(value, entity, links) of every distinct value, with the number of other values of its entity: what to use where clusters are large."""
+    c = checkpointed(variant_clusters(values, column))
+    return lookup_join(c, checkpointed(c.groupBy("entity").agg((F.count("*") - 1).alias("links"))), ["entity"]).select("value", "entity", "links")
+
+
 def variant_pairs(values: DataFrame, column: str = "value") -> DataFrame:
     """(name_a, name_b) of all different values of one entity, name_a before name_b by code point."""
     c = checkpointed(variant_clusters(values, column))

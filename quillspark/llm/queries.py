@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.leakage import find_leaks
 from quillspark.llm.markup import clean_texts, find_residue
-from quillspark.llm.name_variants import variant_clusters, variant_pairs
+from quillspark.llm.name_variants import variant_links, variant_pairs
 from quillspark.llm.packing import CAPACITY, pack_documents, token_sizes
 from quillspark.llm.quality import document_kinds, document_stats
 from quillspark.llm.shared_runs import shared_runs
@@ -36,8 +36,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_entities(spark: SparkSession, d: str) -> DataFrame:
-    """Each spelling with its entity."""
-    return variant_clusters(_authors(spark, d))
+    """Each spelling with its entity and the number of its other spellings."""
+    return variant_links(_authors(spark, d))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

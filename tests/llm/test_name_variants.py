@@ -27,6 +27,9 @@ def test_clusters(spark):
     pairs = {tuple(r) for r in n.variant_pairs(df).collect()}
     assert all(a < b for a, b in pairs) and ("Nat Barhomidish", "Nathaniel Barhomidish") in pairs
     assert n.variant_pairs(df.limit(0)).count() == 0
+    links = {r.value: r.links for r in n.variant_links(df).collect()}
+    assert all(links[v] == len(vs) - 1 for vs in PEOPLE.values() for v in vs) and links["…"] == 0
+    assert n.read_name("Putka Guild")[0] == "person" and n.read_name("Putka Gld.", {"guild": "gld"})[:3] == ("org", "putka", "guild")
 
 
 def test_ambiguous_initials_stay_alone(spark):
