@@ -74,7 +74,7 @@ def generator(root: Node, html: str) -> str:
         if m.attrs.get("name", "").lower() == "generator":
             content = m.attrs.get("content", "").lower()
             return next((name for mark, name in GENERATORS if mark in content), "other")
-    low = html[:4000].lower()
+    low = html.lower()
     return next((name for mark, name in GENERATORS if mark in low), "unknown")
 
 

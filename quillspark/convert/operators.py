@@ -133,7 +133,7 @@ def heading_levels(lines: DataFrame, spans: DataFrame) -> DataFrame:
     x = lookup_join(lines, checkpointed(body_size(spans)), ["doc"], "inner")
     number = F.regexp_extract("text", r"^\s*(\d+(?:\.\d+)*)\.?\s+\S", 1)
     large = F.round("size", 1) > F.col("body")
-    x = x.where((large | ((F.col("bold") > 0.8) & (number != ""))) & (F.length("text") <= 200))
+    x = x.where((large | ((F.col("bold") > 0.8) & (number != ""))))
     rank = F.dense_rank().over(Window.partitionBy("doc").orderBy(F.desc(F.round("size", 1))))
     by_number = F.size(F.split(number, r"\."))
     level = F.when(number != "", by_number + 1).otherwise(F.least(rank + 1, F.lit(6)))

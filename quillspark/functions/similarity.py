@@ -95,7 +95,6 @@ ACCEPT, RESCUE, RESCUE_CHARS, CELLS = 0.70, 0.40, 2000, 400_000
 
 def block_match(ref: list[str], hyp: list[str]) -> dict:
     """Blocks matched one to one by least normalised distance: nid = 1 - edits / characters, unmatched blocks count whole."""
-    total = sum(map(len, ref)) + sum(map(len, hyp))
     if not ref or not hyp or len(ref) * len(hyp) > CELLS:
         a, b = "\n\n".join(ref), "\n\n".join(hyp)
         return {"nid": 1 - ned(a, b) if a or b else 1.0, "matched": 0, "order": 0.0, "whole_text": True}
@@ -117,7 +116,7 @@ def block_match(ref: list[str], hyp: list[str]) -> dict:
     lost = sum(len(x) for i, x in enumerate(ref) if i not in seen_i) + sum(len(x) for j, x in enumerate(hyp) if j not in seen_j)
     length = sum(max(len(ref[i]), len(hyp[j])) for i, j in pairs) + lost
     order = [j for _, j in pairs]
-    return {"nid": 1 - (edits + lost) / length if length else 1.0, "matched": len(pairs), "order": edit_distance(order, sorted(order)) / len(order) if order else 0.0, "whole_text": total < 0}
+    return {"nid": 1 - (edits + lost) / length if length else 1.0, "matched": len(pairs), "order": edit_distance(order, sorted(order)) / len(order) if order else 0.0, "whole_text": False}
 
 
 def tree_distance(a: tuple, b: tuple, rename=lambda x, y: float(x != y)) -> float:

@@ -91,10 +91,10 @@ def numbered_lines(spark, d):
 
 @query()
 def block_match(spark, d):
-    """Block agreement of each section's source with its cleaned text."""
+    """Block agreement of each section's source with its cleaned text; beyond `CELLS` pairs of blocks (a fixed value) the whole texts are compared, which `whole_text` tells."""
     s = table(spark, d, "standard_sections").where("raw_latex is not null and cleaned_text is not null")
     s = s.select("id", "raw_latex", "cleaned_text")
-    return spread(s).select("id", udfs.block_match("raw_latex", "cleaned_text").alias("m")).select("id", "m.nid", "m.matched", "m.order")
+    return spread(s).select("id", udfs.block_match("raw_latex", "cleaned_text").alias("m")).select("id", "m.nid", "m.matched", "m.order", "m.whole_text")
 
 
 @query()

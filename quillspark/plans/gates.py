@@ -124,7 +124,7 @@ def structure_compare(spark, d):
 
 @query()
 def gap_locator(spark, d):
-    """Headings of a section's source and cleaned text side by side: wrong, missing or extra, with the place."""
+    """Paragraphs of a section's source and cleaned text side by side: wrong, missing or extra, with the place."""
 
     @F.pandas_udf("array<struct<op:string,at:int,expected:string,got:string>>")
     def gaps(raw: pd.Series, cleaned: pd.Series) -> pd.Series:
@@ -132,7 +132,7 @@ def gap_locator(spark, d):
         for a, b in zip(raw, cleaned):
             p, q = segments.paragraphs(a or ""), segments.paragraphs(b or "")
             name = {"replace": "wrong", "delete": "missing", "insert": "extra"}
-            out.append([{"op": name[op], "at": i, "expected": "\n\n".join(p[i:j])[:80], "got": "\n\n".join(q[k:m])[:80]} for op, i, j, k, m in similarity.aligned(p, q) if op != "equal"])
+            out.append([{"op": name[op], "at": i, "expected": "\n\n".join(p[i:j]), "got": "\n\n".join(q[k:m])} for op, i, j, k, m in similarity.aligned(p, q) if op != "equal"])
         return pd.Series(out)
 
     s = spread(table(spark, d, "standard_sections").where("raw_latex is not null and cleaned_text is not null").select("id", "raw_latex", "cleaned_text"))

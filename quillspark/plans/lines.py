@@ -16,6 +16,7 @@ from quillspark.operators import sequence as s
 from quillspark.operators.gates import handles_unknown
 from quillspark.operators.measures import rounded
 from quillspark.operators.simulate import thread_violations as violations
+from quillspark.search import SectionIndex
 from quillspark.session import ship, spread, table
 
 QUERIES, ORACLES = {}, {}
@@ -157,6 +158,29 @@ def thread_violations(spark, d):
     return violations(e.select("user_id", F.col("event_id").alias("slot"), up.alias("up"), depth.alias("depth")), "user_id", "slot", "up", "depth")
 
 
+def _index(spark, d):
+    return SectionIndex(*[table(spark, d, t) for t in ("standard_sections", "section_xrefs", "drafts")])
+
+
+_TAG = "(SELECT max(draft_tag) FROM standard_sections)"
+_NORMAL = r"regexp_replace(lower({0}), '^[\s\[\]]+|[\s\[\]]+$', '', 'g')"
+
+
+@query(f"SELECT id, draft_tag, stable_label, section_number, title, depth FROM standard_sections WHERE draft_tag = {_TAG} AND depth <= 1")
+def index_sections(spark, d):
+    return _index(spark, d).list_sections(depth=1)
+
+
+@query(f"SELECT {_NORMAL.format('from_label')} AS label, count(*) AS n FROM section_xrefs WHERE draft_tag = {_TAG} AND {_NORMAL.format('to_label')} = 'glos.terms' AND {_NORMAL.format('from_label')} <> '' GROUP BY 1")
+def index_references(spark, d):
+    return _index(spark, d).references_to("[glos.terms]")
+
+
+@query(rf"SELECT id, stable_label, term FROM (SELECT id, stable_label, unnest(list_distinct(regexp_extract_all(raw_latex, '\\index(?:text|library|libraryglobal|defn)?\{{([^{{}}]+)\}}', 1))) AS term FROM standard_sections WHERE draft_tag = {_TAG}) WHERE contains(lower(term), 'e')")
+def index_entries(spark, d):
+    return _index(spark, d).index_entries("E")
+
+
 @query()
 def sliding_ned(spark, d):
     """Least edit distance of each title with a window of its source file's name, over the title's length."""
