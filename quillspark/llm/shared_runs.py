@@ -127,11 +127,13 @@ def shared_runs(df: DataFrame, host: str, page: str, text: str, run: int = RUN,
     size = rows.groupBy("host").agg(F.ceil(F.sum(F.length("t")) / (3 * block_tokens)).alias("blocks"))
     size = checkpointed(size.where("blocks > 1"))
     rows = rows.join(broadcast_if_small(size)[0], "host", "left")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("page", "t"), F.coalesce("blocks", F.lit(1)))).drop("blocks")
+    rows = rows.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("page", "t"), F.col("blocks")))
     rows = checkpointed(rows.withColumn("_group", F.xxhash64("host", F.col("host").isNull(), "block")))
 
     def keys(pdf: pd.DataFrame) -> pd.DataFrame:
         k, n = Block(pdf["t"].tolist(), run).keys()
+        if pdf["blocks"].iloc[0] == 1:  # nothing to be added by other blocks
+            k, n = k[n >= pages], n[n >= pages]
         return pd.DataFrame({"_group": pdf["_group"].iloc[0], "host": pdf["host"].iloc[0], "key": k.view(np.int64), "n": n})
 
     found = checkpointed(rows.groupBy("_group").applyInPandas(keys, f"_group long, host {kinds[host]}, key long, n long"))
