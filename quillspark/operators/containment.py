@@ -1,9 +1,12 @@
 """Strings that are not contained in another one, without comparing all pairs, and quotes in texts.
 
-A string that is contained in another has all its word trigrams (or, if it is
-shorter, its whole text as a part of the other's words) there; so the candidate
-pairs come from joining each string's rarest trigram of characters with the
-strings that hold it, and only those are checked by containment.
+A string is contained in another if a part of the other, from some character
+to its end, begins with it.  All strings and such parts are sorted together;
+then the one that follows a string begins with it if any does, so each string
+is compared with its neighbour only.  Nothing is joined but the heads of the
+strings (their first N characters), by which parts that begin as no string
+does are left out, if the measured size of the heads allows; beyond it all
+parts are sorted, n * n / 2 bytes of a string of n characters.
 """
 
 from __future__ import annotations
@@ -12,10 +15,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.session import BROADCAST_BYTES, checkpointed, measured_bytes, ship
+from quillspark.session import BROADCAST_BYTES, broadcast_if_small, checkpointed, measured_bytes, ship, spread
 
 N = 8
 
@@ -78,16 +81,23 @@ def _quote_finder(stated: list[tuple], spans: int, names: tuple[str, str]):
     return find
 
 
-def maximal_strings(df: DataFrame, column: str) -> DataFrame:
+def maximal_strings(df: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The distinct strings of `column` that no other one contains, and '' if it is there."""
     s = checkpointed(df.select(F.col(column).alias("s")).where("s is not null").distinct())
-    grams = s.where(f"length(s) >= {N}").select("s", F.explode(F.expr(f"array_distinct(transform(sequence(1, length(s) - {N - 1}), i -> substring(s, i, {N})))")).alias("g"))
-    grams = checkpointed(grams)
-    freq = grams.groupBy("g").agg(F.count("*").alias("n"))
-    rare = grams.join(freq, "g").groupBy("s").agg(F.min_by("g", F.struct("n", "g")).alias("g")).select(F.col("s").alias("small"), "g")
-    inside = rare.join(grams.select(F.col("s").alias("large"), "g"), "g").where("small <> large and contains(large, small)").select(F.col("small").alias("s")).distinct()
-    # strings shorter than a gram meet the distinct substrings of their length
-    tiny = s.where(f"length(s) between 1 and {N - 1}")
-    parts = s.select("s", F.explode(F.expr(f"array_distinct(flatten(transform(sequence(1, {N - 1}), k -> if(length(s) > k, transform(sequence(1, length(s) - k + 1), i -> substring(s, i, k)), array()))))")).alias("t"))
-    held = tiny.join(parts.select(F.col("t").alias("s")).distinct(), "s", "left_semi") if not tiny.isEmpty() else tiny
-    return s.join(inside, "s", "left_anti").join(held, "s", "left_anti").select(F.col("s").alias(column))
+    filled = s.where("s <> ''")
+    heads, small = broadcast_if_small(filled.select(F.substring("s", 1, N).alias("h")).distinct(), limit)
+    at = spread(filled).select("s", F.explode(F.expr("sequence(1, length(s))")).alias("i"))
+    if small:  # only parts that begin as a string does; a string shorter than N is its own head
+        sizes = sorted(r[0] for r in heads.select(F.length("h")).distinct().collect())
+        at = at.select("s", "i", F.explode(F.array(*[F.expr(f"substring(s, i, {k})") for k in sizes])).alias("h")).join(heads, "h", "left_semi")
+        parts = at.select("s", F.expr(f"if(length(h) = {N}, substring(s, i), h)").alias("t"))
+    else:
+        parts = at.select("s", F.expr("substring(s, i)").alias("t"))
+    both = filled.select(F.col("s").alias("t"), F.lit(True).alias("own")).unionByName(parts.where("t <> s").select("t", F.lit(False).alias("own")))
+    each = both.groupBy("t").agg(F.bool_and("own").alias("own"))
+    # what follows a string in the order begins with it if anything does
+    o = checkpointed(each.sort("t").withColumn("_part", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
+    first = o.groupBy("_part").agg(F.min("t").alias("t")).select("_part", F.lead("t").over(Window.orderBy("_part")).alias("_first"))  # a row per partition
+    after = o.withColumn("_next", F.lead("t").over(Window.partitionBy("_part").orderBy("_m"))).where("own").join(F.broadcast(first), "_part")
+    kept = after.where("not coalesce(startswith(coalesce(_next, _first), t), false)").select(F.col("t").alias("s"))
+    return kept.unionByName(s.where("s = ''")).select(F.col("s").alias(column))

@@ -53,6 +53,30 @@ def test_maximal_strings_as_brute_force(spark):
     assert got == {w for w in words if w == "" or not any(w != v and w in v for v in words)}
 
 
+def test_maximal_strings_send_no_parts_of_the_strings_to_all(spark, tmp_path):
+    # the grams of these take tens of MB, though their table's file is small
+    words = [f"{'on ' if i % 3 else ''}{i % 97} headers for {i * 7919 % 100_003:06d} ranges of {i}" for i in range(10_000)]
+    words += [w[3:-2] for w in words[:50]] + [w[-5:] for w in words[60:90]]
+    spark.createDataFrame([(w,) for w in words], "s string").write.parquet(str(tmp_path / "w"))
+    df = spark.read.parquet(str(tmp_path / "w"))
+    conf, before = "spark.sql.maxBroadcastTableSize", spark.conf.get("spark.sql.maxBroadcastTableSize", None)
+    spark.conf.set(conf, "24m")  # a broadcast of a few rows takes 16 MB here
+    try:
+        got = [x[0] for x in maximal_strings(df, "s").collect()]
+    finally:
+        spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
+    have = set(words)
+    held = {p for w in have for i in range(len(w)) for j in range(i + 1, len(w) + 1) if (p := w[i:j]) != w and p in have}
+    assert len(got) == len(set(got)) and set(got) == have - held
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_maximal_strings_by_either_plan(spark, limit):
+    words = ["abcdefgh", "xabcdefgh", "abcdefghi", "é日", "日", "a", "", "aa", "hij 日é", "lone", "lonely text", "ly", "text lonely"]
+    got = [x[0] for x in maximal_strings(spark.createDataFrame([(w,) for w in [*words, "a", None]], "s string"), "s", limit).collect()]
+    assert sorted(got) == sorted(w for w in words if w == "" or not any(w != v and w in v for v in words))
+
+
 def test_components(spark):
     import random
 
